@@ -1,0 +1,18 @@
+"""Cutting lineage in the folder that all machines of the cluster share."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """The frame, written to the session's checkpoint folder and read from there.
+
+    The folder is ``spark.checkpoint.dir``; only where that is unset, as in tests, a temporary one is used.
+    """
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
+    return frame.checkpoint()
