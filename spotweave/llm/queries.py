@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.llm import mixing, pii, quality, token_counts, toxicity, urls
+from spotweave.llm import decontamination, html_text, mixing, near_duplicates, pii, quality, repeated_bytes, token_counts, toxicity, urls
 from spotweave.llm.batches import read_table
 
 #: Name of the vocabulary file; public_tokenizers gives its place.
@@ -36,10 +36,26 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(number, pii.KINDS), F.sha2(named(F.col("base")), 256).alias("base_sha256"), named(F.concat("base", "added")).alias("spans"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op5_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(read_table(spark, sf_dir, "pages"))
+
+
 def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(read_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -53,7 +69,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_mixing, op3_pii, op7_urls, op9_token_counts, op10_toxicity)}
+    return {f.__name__: f for f in (op1_quality, op2_mixing, op3_pii, op4_decontamination, op5_repeated_bytes, op6_html_text, op7_urls, op8_near_duplicates, op9_token_counts, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -3,16 +3,30 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(frame: DataFrame) -> DataFrame:
-    """The frame, written to the session's checkpoint folder and read from there.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder.
 
-    The folder is ``spark.checkpoint.dir``; only where that is unset, as in tests, a temporary one is used.
+    It is ``spark.checkpoint.dir``; only where that is unset, as in tests, a temporary folder is made.
     """
-    context = frame.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """The frame, written to the checkpoint folder and read from there."""
+    checkpoint_folder(frame.sparkSession)
     return frame.checkpoint()
+
+
+def stored(frame: DataFrame) -> DataFrame:
+    """The frame, written as Parquet below the checkpoint folder and read again."""
+    path = f"{checkpoint_folder(frame.sparkSession)}/stored-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
