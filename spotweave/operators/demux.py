@@ -19,19 +19,24 @@ METRICS = ("Hamming", "Levenshtein", "Subglobal")
 BROADCAST_BARCODES = 2_000_000
 
 
-@F.pandas_udf("int")
-def subglobal(observed: pd.Series, barcode: pd.Series) -> pd.Series:
-    """Edit distance of the barcode to the observed string whose ends are free."""
+def free_end_distance(text: str, pattern: str) -> int:
+    """Edit distance of the pattern to the nearest part of the text."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(pattern, 1):
+        above, row = row, [i] + [0] * len(text)
+        for j, d in enumerate(text, 1):
+            row[j] = min(above[j - 1] + (c != d), above[j] + 1, row[j - 1] + 1)
+    return min(row)
 
-    def distance(text: str, pattern: str) -> int:
-        row = [0] * (len(text) + 1)
-        for i, c in enumerate(pattern, 1):
-            above, row = row, [i] + [0] * len(text)
-            for j, d in enumerate(text, 1):
-                row[j] = min(above[j - 1] + (c != d), above[j] + 1, row[j - 1] + 1)
-        return min(row)
 
-    return pd.Series([None if a is None or b is None else distance(a, b) for a, b in zip(observed, barcode)], dtype="Int32")
+def subglobal(observed: str, barcode: str) -> Column:
+    """Edit distance of the barcode to the observed string whose ends are free; an Arrow UDF."""
+
+    @F.pandas_udf("int")
+    def distances(texts: pd.Series, patterns: pd.Series) -> pd.Series:
+        return pd.Series([None if a is None or b is None else free_end_distance(a, b) for a, b in zip(texts, patterns)], dtype="Int32")
+
+    return distances(observed, barcode)
 
 
 def _pieces(barcode: Column, k: int) -> Column:
@@ -82,7 +87,7 @@ def match_barcodes(observed: DataFrame, barcodes: DataFrame, max_distance: int =
                 places = F.sequence(F.lit(1), F.greatest(F.length("observed") - (high - low) + 1, F.lit(1)))
             else:
                 places = F.sequence(F.lit(max(0, low - slack) + 1), F.lit(low + slack + 1))
-            offers.append(F.transform(places, lambda s, i=i, size=high - low: _offer(i, s, size)))
+            offers.append(_offers(places, i, high - low))
     if offers:
         found = rest.where("observed IS NOT NULL").select("observed", F.explode(F.array_distinct(F.flatten(F.array(*offers)))).alias("o")).select("observed", "o.piece", "o.text")
         pairs = found.join(keyed, ["piece", "text"]).select("observed", "known", "x", "y").distinct()
@@ -98,8 +103,9 @@ def match_barcodes(observed: DataFrame, barcodes: DataFrame, max_distance: int =
     return perfect.unionByName(others)
 
 
-def _offer(piece: int, start: Column, size: int) -> Column:
-    return F.struct(F.lit(piece).alias("piece"), F.substring("observed", start, F.lit(size)).alias("text"))
+def _offers(places: Column, piece: int, size: int) -> Column:
+    """Array of (piece, text): what the observed string has at each place."""
+    return F.transform(places, lambda start: F.struct(F.lit(piece).alias("piece"), F.substring("observed", start, F.lit(size)).alias("text")))
 
 
 def demultiplex(reads: DataFrame, barcodes: DataFrame, max_distance: int = 2, metric: str = "Hamming", keep_one: bool = False, trim: list[int] | None = None) -> DataFrame:
@@ -120,13 +126,16 @@ def category_counts(matched: DataFrame) -> DataFrame:
 def shared_words(reads: DataFrame, reference: DataFrame, k: int, key: str = "id", sequence: str = "seq") -> DataFrame:
     """Reads that share no string of k characters with the reference (a stand-in for aligning to contaminants).
 
-    The reference's strings are distinct before the join; reads meet it by equi-join on strings.
+    The reference's strings are made distinct; if they are few they are broadcast, and the reads' strings are
+    looked up where they arise.
     """
 
-    def words(c: str) -> Column:
-        s = F.col(c)
-        return F.explode(F.array_distinct(F.when(F.length(s) >= k, F.transform(F.sequence(F.lit(1), F.length(s) - (k - 1)), lambda i: F.substring(s, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))))
+    def words(frame: DataFrame, *keep: str) -> DataFrame:
+        places = F.explode(F.sequence(F.lit(1), F.length(sequence) - (k - 1))).alias("place")
+        return frame.where(F.length(sequence) >= k).select(*keep, sequence, places).select(*keep, F.substring(sequence, F.col("place"), F.lit(k)).alias("word"))
 
-    known = reference.select(words(sequence).alias("word")).distinct()
-    hit = reads.select(key, words(sequence).alias("word")).join(known, "word", "left_semi").select(key).distinct()
+    known = words(reference).distinct()
+    if known.limit(BROADCAST_BARCODES + 1).count() <= BROADCAST_BARCODES:
+        known = F.broadcast(known)
+    hit = words(reads, key).join(known, "word", "left_semi").select(key).distinct()
     return reads.join(hit, key, "left_anti")

@@ -50,13 +50,17 @@ def pair_reads(forward: DataFrame, reverse: DataFrame) -> DataFrame:
     return first.join(second, "read_idx").select("read_idx", "name", "r1_seq", "r1_qual", "r2_seq", "r2_qual", same.alias("same_name"))
 
 
-def trim_homopolymers(length: Column, sequence: Column, p: ReadFilter) -> Column:
-    """Length of the read after cutting runs of A, T, G, C and N in this order, each from its first hit on."""
+def trim_homopolymers(rows: DataFrame, p: ReadFilter) -> DataFrame:
+    """Lowers ``cut``, the length of the read r2, by runs of A, T, G, C and N in this order, each from its first hit on.
+
+    Each base is a step of its own, so that no expression repeats the ones before it.
+    """
     for base, run in (("A", p.poly_a), ("T", p.poly_t), ("G", p.poly_g), ("C", p.poly_c), ("N", p.poly_n)):
         if run >= 5:
-            left = F.substring(sequence, F.lit(1), length)
-            length = F.when(length > p.min_length, F.coalesce(seq.adaptor_position(left, base, run, p.homopolymer_mismatches), length)).otherwise(length)
-    return length
+            place = seq.adaptor_position(F.substring("r2", F.lit(1), F.col("cut")), base, run, p.homopolymer_mismatches)
+            usable = (F.col("cut") > p.min_length) & (F.length("r2") == F.length("q2"))
+            rows = rows.withColumn("cut", F.coalesce(F.when(usable, place), F.col("cut")))
+    return rows
 
 
 def filter_reads(pairs: DataFrame, p: ReadFilter = ReadFilter()) -> DataFrame:
@@ -72,8 +76,7 @@ def filter_reads(pairs: DataFrame, p: ReadFilter = ReadFilter()) -> DataFrame:
     rows = pairs.select("read_idx", F.split("name", r"\s+")[0].alias("name"), barcode.alias("barcode"), umi.alias("umi"), r1.alias("r1"), q1.alias("q1"), r2.alias("r2"), q2.alias("q2"))
     if p.disable_trimming:
         return rows.select("read_idx", "name", "barcode", "umi", F.col("r2").alias("seq"), F.col("q2").alias("qual"), none.alias("drop_reason"))
-    same = F.length("r2") == F.length("q2")
-    rows = rows.withColumn("cut", F.when(same, trim_homopolymers(F.length("r2"), F.col("r2"), p)).otherwise(F.length("r2")))
+    rows = trim_homopolymers(rows.withColumn("cut", F.length("r2")), p)
     trimmed, quality = F.substring("r2", F.lit(1), F.col("cut")), F.substring("q2", F.lit(1), F.col("cut"))
     rows = rows.withColumn("kept", F.when(F.col("cut") >= p.min_length, seq.quality_trim_length(trimmed, quality, p.min_quality, p.min_length, p.phred)))
     filled = F.length("r2") > 0
