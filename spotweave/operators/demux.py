@@ -17,6 +17,8 @@ from spotweave.functions.seq import hamming, join_slices
 METRICS = ("Hamming", "Levenshtein", "Subglobal")
 #: Barcode tables of at most so many rows are broadcast.
 BROADCAST_BARCODES = 2_000_000
+#: Characters of the pieces in which long strings are searched.
+PIECE = 256
 
 
 def free_end_distance(text: str, pattern: str) -> int:
@@ -131,8 +133,11 @@ def shared_words(reads: DataFrame, reference: DataFrame, k: int, key: str = "id"
     """
 
     def words(frame: DataFrame, *keep: str) -> DataFrame:
-        places = F.explode(F.sequence(F.lit(1), F.length(sequence) - (k - 1))).alias("place")
-        return frame.where(F.length(sequence) >= k).select(*keep, sequence, places).select(*keep, F.substring(sequence, F.col("place"), F.lit(k)).alias("word"))
+        # by way of pieces: a place is found by counting from the start of its string
+        starts = F.explode(F.sequence(F.lit(1), F.length(sequence) - (k - 1), F.lit(PIECE))).alias("start")
+        pieces = frame.where(F.length(sequence) >= k).select(*keep, sequence, starts).select(*keep, F.substring(sequence, F.col("start"), F.lit(PIECE + k - 1)).alias("piece"))
+        places = F.explode(F.sequence(F.lit(1), F.length("piece") - (k - 1))).alias("place")
+        return pieces.select(*keep, "piece", places).select(*keep, F.substring("piece", F.col("place"), F.lit(k)).alias("word"))
 
     known = words(reference).distinct()
     if known.limit(BROADCAST_BARCODES + 1).count() <= BROADCAST_BARCODES:
