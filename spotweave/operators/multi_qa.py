@@ -61,10 +61,14 @@ def shared_with_all(counts: DataFrame) -> DataFrame:
 
 
 def gene_correlation(counts: DataFrame, use_log: bool = False) -> DataFrame:
-    """(dataset1, dataset2, correlation): Pearson's over the totals of shared genes, of their logarithms if asked."""
+    """(dataset1, dataset2, correlation): Pearson's over the totals of shared genes, of their logarithms if asked.
+
+    Null where either side does not vary.
+    """
     pairs = gene_pairs(counts)
     a, b = (F.log("total1"), F.log("total2")) if use_log else (F.col("total1").cast("double"), F.col("total2").cast("double"))
-    return pairs.groupBy("dataset1", "dataset2").agg(F.corr(a, b).alias("correlation"))
+    spread = F.nullif(F.stddev_pop(a) * F.stddev_pop(b), F.lit(0.0))
+    return pairs.groupBy("dataset1", "dataset2").agg((F.covar_pop(a, b) / spread).alias("correlation"))
 
 
 def violin_stats(counts: DataFrame) -> DataFrame:
