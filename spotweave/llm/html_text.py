@@ -40,7 +40,7 @@ GROUP_OF = {t: i for i, words in enumerate(TOKENS.values()) for t in words.split
 TAGS = "p li ul ol div section article main aside nav header footer h1 h2 h3 h4 blockquote pre table td tr figure figcaption dl dd dt".split()
 TAG_OF = {t: i + 1 for i, t in enumerate(TAGS)}
 
-MARKUP = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>|<[!?][^>]*+>?", re.S)
+MARKUP = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)(?:>|\Z)|<[!?][^>]*+>?", re.S)
 ATTRIBUTE = re.compile(r"\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORDS = re.compile(r"[a-z]+")
 

@@ -54,10 +54,14 @@ def fold_table() -> dict[int, str | int | None]:
 
 
 FOLD = fold_table()
+#: Signs that stand for letters do so inside words alone.
+AFTER_WORD = re.compile(r"[!|]+(?!\w)")
 
 
 def fold(text: str) -> str:
     """Folded text with a blank at either end."""
+    if "!" in text or "|" in text:
+        text = AFTER_WORD.sub(" ", text)
     folded = text.translate(FOLD)
     return f" {folded if folded.isascii() else folded.lower()} "
 
