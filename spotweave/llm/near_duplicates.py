@@ -6,11 +6,14 @@ member, so thousands of exact copies cost one row.  Each of TREES independent tr
 representatives by one minwise token a level: those with equal tokens so far share a node.  A node of at
 most LEAF members is compared exhaustively on all minwise tokens.  A larger node branches on, down to
 DEPTH levels; before, all its members are compared with one pivot, drawn by hash, so that a node of
-near copies that never falls apart is still linked through its pivots, with rows in proportion to its
-members.  Pairs that look near are confirmed on the full sets, and links become components.
-
-A pair of similarity s shares a node of depth d in a tree with probability s**d; twelve trees find a
-pair at the limit of 0.85 with probability 0.9999 in nodes of depth two.
+near copies that never falls apart is linked through its pivots, with rows in proportion to its members.
+Pairs that look near are confirmed on the full sets, and links become components.  In nodes still large
+at the last level, the members outside the node's largest component are then compared with all members,
+block by block, so that no link is lost to the pivots' draw.
+
+A pair of similarity s shares a node of depth d in a tree with probability s**d.  Nodes rarely go beyond
+depth two, where fifteen trees miss a pair at the limit of 0.85 hardly once in a hundred million; at depth
+four, once in sixty thousand.
 """
 
 from __future__ import annotations
@@ -28,8 +31,9 @@ from spotweave.storage import checkpointed
 
 WIDTH = 5  # words of a shingle
 SIZE = 64  # minwise tokens
-TREES, DEPTH, LEAF = 12, 5, 48
-LOOKS_NEAR = 0.17  # how far below the limit an estimate may be, near four standard deviations
+TREES, DEPTH, LEAF = 15, 4, 48
+STRAY_BLOCK, MEMBER_BLOCK = 64, 256
+LOOKS_NEAR = 0.23  # how far below the limit an estimate may be: five standard deviations
 
 _random = np.random.default_rng(20240501)
 _BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -158,12 +162,16 @@ def compare_pivots(rows: DataFrame, least: float) -> DataFrame:
     return rows.select("rep", "tokens", "pivot", "pivot_tokens").mapInArrow(run, "a long, b long")
 
 
-def candidate_pairs(representatives: DataFrame, limit: float) -> DataFrame:
-    """Distinct pairs of representatives that some tree brings together and whose tokens look near."""
+def candidate_pairs(representatives: DataFrame, limit: float) -> tuple[DataFrame, DataFrame | None]:
+    """Distinct pairs of representatives that some tree brings together and whose tokens look near.
+
+    Also the members (node, rep, tokens, members) of nodes that are large at the last level; none if there
+    are no such nodes.
+    """
     least = limit - LOOKS_NEAR
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
     frontier = representatives.select("rep", "tokens", tree.alias("tree")).select("rep", "tree", F.xxhash64("tree", token_at(F.col("tree"), 0)).alias("node"))
-    pairs: DataFrame | None = None
+    pairs, large = None, None
     for level in range(DEPTH):
         sizes = frontier.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")
         shared = checkpointed(frontier.join(sizes, "node").join(representatives, "rep"))
@@ -171,13 +179,47 @@ def candidate_pairs(representatives: DataFrame, limit: float) -> DataFrame:
         found = compare_leaves(small, least)
         large = shared.where(F.col("members") > LEAF)
         if large.isEmpty():
-            return (found if pairs is None else pairs.unionByName(found)).distinct()
+            return (found if pairs is None else pairs.unionByName(found)).distinct(), None
         draw = F.struct(F.xxhash64("node", "rep").alias("draw"), F.col("rep").alias("pivot"), F.col("tokens").alias("pivot_tokens"))
         pivots = large.groupBy("node").agg(F.min(draw).alias("drawn")).select("node", "drawn.pivot", "drawn.pivot_tokens")
         found = found.unionByName(compare_pivots(large.join(pivots, "node"), least))
         pairs = found if pairs is None else pairs.unionByName(found)
-        frontier = large.select("rep", "tree", F.xxhash64("node", token_at(F.col("tree"), level + 1)).alias("node")) if level + 1 < DEPTH else None
-    return pairs.distinct()
+        if level + 1 < DEPTH:
+            frontier = large.select("rep", "tree", F.xxhash64("node", token_at(F.col("tree"), level + 1)).alias("node"))
+    return pairs.distinct(), large.select("node", "rep", "tokens", "members")
+
+
+def stray_pairs(stuck: DataFrame, components: DataFrame, limit: float) -> DataFrame:
+    """Pairs (a, b) that look near, of members of large nodes that are outside their node's largest component.
+
+    Strays and members meet in blocks: each row holds a block of either, and nothing is emitted but pairs.
+    """
+    least = limit - LOOKS_NEAR
+    named = stuck.join(components.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    sizes = named.groupBy("node", "component").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("node").agg(F.max(F.struct("n", F.col("component").alias("main"))).alias("m"), F.sum("n").alias("all")).select("node", "m.main", (F.col("all") - F.col("m.n")).alias("strays"))
+    placed = named.join(largest, "node").where("strays > 0")
+    row = F.struct("rep", "component", "tokens")
+
+    def blocks(rows: DataFrame, size: str, block: int, name: str) -> DataFrame:
+        number = F.pmod(F.xxhash64("rep"), F.ceil(F.col(size) / block))
+        return rows.groupBy("node", number.alias(f"{name}_block")).agg(F.collect_list(row).alias(name))
+
+    met = blocks(placed.where("component <> main"), "strays", STRAY_BLOCK, "few").join(blocks(placed, "members", MEMBER_BLOCK, "many"), "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for few, many in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids, component = (np.array([m[k] for m in many]) for k in ("rep", "component"))
+                tokens = np.frombuffer(b"".join(m["tokens"] for m in many), np.uint32).reshape(-1, SIZE)
+                found = []
+                for m in few:
+                    near = ((tokens == np.frombuffer(m["tokens"], np.uint32)).sum(1) >= least * SIZE) & (component != m["component"])
+                    found += [(min(m["rep"], i), max(m["rep"], i)) for i in ids[near].tolist()]
+                pairs = np.array(found, np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return met.select("few", "many").mapInArrow(run, "a long, b long").distinct()
 
 
 def confirmed_links(docs: DataFrame, pairs: DataFrame, percent: int, doc_id: str, text: str) -> DataFrame:
@@ -220,9 +262,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
     usable = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = usable.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens"))
     classes = checkpointed(classes)
-    pairs = checkpointed(candidate_pairs(classes.groupBy("rep").agg(F.min("tokens").alias("tokens")), percent / 100))
-    links = confirmed_links(docs, pairs, percent, doc_id, text)
+    pairs, stuck = candidate_pairs(classes.groupBy("rep").agg(F.min("tokens").alias("tokens")), percent / 100)
+    links = checkpointed(confirmed_links(docs, checkpointed(pairs), percent, doc_id, text))
     components = connected_components(links, "a", "b")
+    if stuck is not None:
+        more = checkpointed(stray_pairs(stuck, components, percent / 100))
+        if not more.isEmpty():
+            # links found before count as stars of their components
+            stars = components.select(F.col("id").alias("a"), F.col("component").alias("b"))
+            components = connected_components(confirmed_links(docs, more, percent, doc_id, text).unionByName(stars), "a", "b")
     named = classes.select("k1", "k2", "n_shingles", "rep").join(components.withColumnRenamed("id", "rep"), "rep", "left").select("k1", "k2", F.col("n_shingles").alias("size"), F.coalesce("component", "rep").alias("component"))
     keys = (F.col("s.k1") == F.col("c.k1")) & (F.col("s.k2") == F.col("c.k2")) & (F.col("s.n_shingles") == F.col("c.size"))
     joined = signed.drop("tokens").alias("s").join(named.alias("c"), keys & F.col("s.doc_id").isNotNull() & (F.col("s.n_shingles") > 0), "left")
