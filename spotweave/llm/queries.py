@@ -73,7 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": OP2_SQL}
+    return {"op1_quality": op1_sql(), "op2_mixing": OP2_SQL, "op8_near_duplicates": OP8_SQL}
 
 
 OP2_SQL = r"""
@@ -97,3 +97,56 @@ WITH sized AS (
 )
 SELECT doc_id, size, source_size, target, (size * (floor(rate)::BIGINT + (u < rate - floor(rate))::BIGINT))::BIGINT AS taken FROM rates
 """
+
+OP8_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(w[i : i + 4], ' ')) AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM words)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = d.doc_id
+"""
+
+
+def op1_sql(limits: quality.QualityLimits = quality.QualityLimits()) -> str:
+    """The quality rules with references summed in SQL."""
+    classes = ("[^a-z]", "[^A-Z]", "[^0-9]", "[^ \\t\\x0b\\x0c\\r]", "[^\\n]", "[^.,;:!?''\"()-]", "[^#*$%&|<>]")
+    counted = [f"length(regexp_replace(t, '{c}', '', 'g'))" for c in classes] + ["length(regexp_replace(t, '[\\x00-\\x7F]', '', 'g'))"]
+    pairs = ", ".join(f"({i if i < 7 else 8}, {c})" for i, c in enumerate(counted))
+    vocabulary = ", ".join("('" + w.decode().replace("'", "''") + "')" for w in quality.VOCABULARY)
+    langs = ", ".join(f"'{k}'" for k in quality.COMMON_WORDS)
+    marks = quality.STRIP.decode().replace("'", "''")
+
+    def distance(kind: str) -> str:
+        """Distance of every document from every reference, by a sum over cells."""
+        return f"""
+{kind}_doc AS (SELECT doc_id, cell, n, n / greatest(sum(n) OVER (PARTITION BY doc_id), 1) AS p FROM {kind}_cells),
+{kind}_ref AS (SELECT lang, cell, n / greatest(sum(n) OVER (PARTITION BY lang), 1) AS q FROM (SELECT lang, cell, sum(n)::DOUBLE AS n FROM {kind}_cells JOIN docs USING (doc_id) WHERE lang IN ({langs}) GROUP BY lang, cell)),
+{kind}_distance AS (SELECT doc_id, lang, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END), 0) / 2) AS d, sum(n) AS size FROM {kind}_doc JOIN {kind}_ref USING (cell) GROUP BY doc_id, lang)"""
+
+    return f"""
+WITH docs AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
+split AS (SELECT doc_id, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines FROM docs),
+windows AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS times FROM (SELECT doc_id, i, array_to_string(w[i : i + 7], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM split))),
+repeats AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM windows, range(8) r(k) WHERE times > 1 GROUP BY doc_id),
+seven AS (SELECT doc_id, t, c.cell, c.n FROM docs, LATERAL (VALUES {pairs}) c(cell, n)),
+char_cells AS (SELECT doc_id, cell, n FROM seven UNION ALL SELECT doc_id, 7, any_value(length(t)) - sum(n) FROM seven GROUP BY doc_id),
+plain AS (SELECT doc_id, unnest(regexp_extract_all(translate(translate(t, '{marks}', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')) AS word FROM docs),
+vocabulary(word) AS (VALUES {vocabulary}), cells AS (SELECT word AS cell FROM vocabulary UNION ALL SELECT ''),
+found AS (SELECT doc_id, coalesce(v.word, '') AS cell, count(*) AS n FROM plain LEFT JOIN vocabulary v USING (word) GROUP BY ALL),
+word_cells AS (SELECT d.doc_id, c.cell, coalesce(f.n, 0) AS n FROM docs d CROSS JOIN cells c LEFT JOIN found f ON f.doc_id = d.doc_id AND f.cell = c.cell),{distance("char")},{distance("word")},
+near AS (SELECT doc_id, bool_or((c.size < {limits.min_chars} OR c.d <= {limits.char_limit} + {limits.char_slack} / sqrt(greatest(c.size, 1))) AND (w.size < {limits.min_judged_words} OR w.d <= {limits.word_limit} + {limits.word_slack} / sqrt(greatest(w.size, 1)))) AS near
+  FROM char_distance c JOIN word_distance w USING (doc_id, lang) GROUP BY doc_id),
+base AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM docs JOIN split USING (doc_id) LEFT JOIN repeats USING (doc_id))
+SELECT base.*, n_words < {limits.min_words} OR 100 * n_repeat_words > {limits.max_repeat_percent} * n_words AS base_failed,
+  NOT (n_words < {limits.min_words} OR 100 * n_repeat_words > {limits.max_repeat_percent} * n_words) AND coalesce(near, true) AS kept FROM base LEFT JOIN near USING (doc_id)"""
