@@ -99,20 +99,23 @@ def annotate(alignments: DataFrame, features: DataFrame, mode: str = "intersecti
     lost = (F.col("flag").bitwiseAND(4) > 0) | F.col("chrom").isNull()
     state = F.when(lost, "__not_aligned").when(F.col("mapq") < min_mapq, "__too_low_aQual")
     marked = alignments.select(key, state.alias("state"), "chrom", "pos", "cigar", strand.alias("strand"))
-    blocks = marked.where("state IS NULL").select(key, "chrom", "strand", F.explode(aligned_blocks("cigar", "pos")).alias("b")).select(key, "chrom", "strand", "b.block", "b.low", "b.high")
+    # every alignment has a row at least, so that labels need no second join with the alignments
+    aligned = F.when(F.col("state").isNull(), aligned_blocks("cigar", "pos"))
+    blocks = marked.select(key, "state", "chrom", "strand", F.explode_outer(aligned).alias("b")).select(key, "state", "chrom", "strand", "b.block", "b.low", "b.high")
     steps = feature_steps(features, stranded != "no", gaps=mode == "intersection-strict")
-    blocks = blocks.withColumn("bin", F.explode(F.sequence(F.floor(F.col("low") / BIN), F.floor((F.col("high") - 1) / BIN))))
     # endless steps without genes are cut to the reads' reach, two numbers
     if mode == "intersection-strict":
         reach = blocks.agg(F.min("low").alias("l"), F.max("high").alias("h")).first()
         low, high = (reach["l"] or 0), (reach["h"] or 1)
         steps = steps.withColumns({"low": F.greatest("low", F.lit(low)), "high": F.least("high", F.lit(high))}).where("low < high")
-    binned = steps.select("chrom", "strand", F.col("low").alias("from"), F.col("high").alias("to"), "genes", F.explode(F.sequence(F.floor(F.col("low") / BIN), F.floor((F.col("high") - 1) / BIN))).alias("bin"))
-    met = blocks.join(binned, ["chrom", "strand", "bin"]).where((F.col("low") < F.col("to")) & (F.col("high") > F.col("from")))
-    met = met.select(key, F.struct("block", "from", "genes").alias("step")).groupBy(key).agg(F.array_sort(F.collect_set("step")).alias("steps"))
-    genes = met.select(F.col(key).alias("of"), fold_genes(F.transform("steps", lambda s: s["genes"]), mode).alias("genes"))
-    joined = marked.join(genes, F.col(key) == F.col("of"), "left")
-    return joined.select(key, F.coalesce("state", gene_label(F.coalesce("genes", F.array().cast("array<string>")))).alias("gene"))
+    bins = F.sequence(F.floor(F.col("low") / BIN), F.floor((F.col("high") - 1) / BIN))
+    left = blocks.withColumn("bin", F.explode_outer(F.when(F.col("low").isNotNull(), bins))).alias("l")
+    right = steps.select("chrom", "strand", F.col("low").alias("from"), F.col("high").alias("to"), "genes", F.explode(bins).alias("bin")).alias("r")
+    over = (F.col("l.chrom") == F.col("r.chrom")) & (F.col("l.strand") == F.col("r.strand")) & (F.col("l.bin") == F.col("r.bin")) & (F.col("l.low") < F.col("r.to")) & (F.col("l.high") > F.col("r.from"))
+    met = left.join(right, over, "left").select(f"l.{key}", "l.state", F.when(F.col("r.from").isNotNull(), F.struct("l.block", "r.from", "r.genes")).alias("step"))
+    found = met.groupBy(key).agg(F.max("state").alias("state"), F.array_sort(F.collect_set("step")).alias("steps"))
+    genes = fold_genes(F.transform("steps", lambda s: s["genes"]), mode)
+    return found.withColumn("genes", genes).select(key, F.coalesce("state", gene_label(F.col("genes"))).alias("gene"))
 
 
 def keep_annotated(annotated: DataFrame, include_non_annotated: bool = False, no_ambiguous: bool = False) -> DataFrame:
