@@ -30,7 +30,7 @@ from pyspark.sql.window import Window
 from spotweave.llm.batches import steps
 
 LENGTH, K = 100, 32
-SHARD_BYTES, MERGE_BYTES, HOT = 16_384, 262_144, 20_000
+SHARD_BYTES, MERGE_BYTES, HOT = 16_384, 65_536, 20_000
 PLACE_BITS = 28
 
 _random = np.random.default_rng(97)
@@ -159,19 +159,21 @@ def merged_intervals(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nda
         moves.append(lf + base)
         is_end.append(np.arange(len(order)) < len(numbers))
         base += len(order)
-    symbol, move = np.concatenate(symbols), np.concatenate(moves)
-    symbol8 = symbol.astype(np.uint16)
-    ends = np.flatnonzero(np.concatenate(is_end))
-    interleave, interval = np.arange(base), np.zeros(base, np.int64)
+    # bytes of UTF-8 are below 248, so that a symbol fits a byte, and a stable sort of bytes is one counting pass
+    symbol, move = np.concatenate(symbols).astype(np.uint8), np.concatenate(moves).astype(np.int32)
+    ends = np.flatnonzero(np.concatenate(is_end)).astype(np.int32)
+    interleave, interval = np.arange(base, dtype=np.int32), np.zeros(base, np.int32)
+    cut = np.zeros(base, bool)
     for _ in range(LENGTH):
-        seen = symbol8[interleave]
+        seen = symbol[interleave]
         order = np.argsort(seen, kind="stable")
-        sorted_symbols, before = seen[order], interval[order]
+        seen, before = seen[order], interval[order]
         interleave = move[interleave[order]]
         interleave[: len(ends)] = ends  # the ends stay in the order of their texts
-        cut = (sorted_symbols[1:] != sorted_symbols[:-1]) | (before[1:] != before[:-1])
-        cut[: len(ends) - 1] = False  # all ends count as one symbol
-        interval = np.concatenate([[0], np.cumsum(cut)])
+        np.not_equal(seen[1:], seen[:-1], out=cut[1:])
+        cut[1:] |= before[1:] != before[:-1]
+        cut[1 : len(ends)] = False  # all ends count as one symbol
+        np.cumsum(cut, out=interval)
     full = np.concatenate(rooms)[interleave] >= LENGTH
     interleave, interval = interleave[full], interval[full]
     return interval, np.concatenate(owners)[interleave], np.concatenate(places)[interleave]
@@ -202,17 +204,33 @@ def repeated_windows(texts: list[bytes], docs: np.ndarray, starts: np.ndarray) -
 
 
 def _spans(texts: DataFrame) -> DataFrame:
-    """(print, doc_id, at, windows, whole) of all spans."""
+    """(print, doc_id, at, windows, whole, copy) of all spans.
+
+    Of equal spans of one batch all but the earliest are copies already; each gets a fingerprint of its own,
+    so that a string repeated very often doesn't meet in one task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, offsets, data in steps(batch.column(1), 1 << 19):
+            ids, parts = batch.column(0).to_numpy(zero_copy_only=False), []
+            for low, _, offsets, data in steps(batch.column(1), 1 << 19):
                 prints, row, at, windows, whole = spans_of(offsets, data)
-                ids = batch.column(0).slice(low, high - low).to_numpy(zero_copy_only=False)
-                columns = [prints, ids[row] if len(row) else row, at, windows, whole]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["print", "doc_id", "at", "windows", "whole"])
-
-    return texts.mapInArrow(run, "print long, doc_id long, at long, windows long, whole long")
+                parts.append((prints, ids[row + low], at, windows, whole))
+            if not parts:
+                continue
+            prints, doc, at, windows, whole = (np.concatenate(x).astype(np.int64) for x in zip(*parts))
+            order = np.lexsort((at, doc, windows, whole, prints))
+            prints, doc, at, windows, whole = (x[order] for x in (prints, doc, at, windows, whole))
+            same = np.zeros(len(order), bool)
+            same[1:] = (prints[1:] == prints[:-1]) & (whole[1:] == whole[:-1]) & (windows[1:] == windows[:-1])
+            first = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
+            copy = (doc != doc[first]) | (at != at[first])
+            own = _mixed(doc.view(np.uint64) * np.uint64(_BASE) + at.view(np.uint64)).view(np.int64)
+            prints[copy] = own[copy]
+            whole[copy] = own[copy]
+            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (prints, doc, at, windows, whole)), pa.array(copy)], ["print", "doc_id", "at", "windows", "whole", "copy"])
+
+    return texts.mapInArrow(run, "print long, doc_id long, at long, windows long, whole long, copy boolean")
 
 
 def _span_bytes(chosen: DataFrame) -> DataFrame:
@@ -302,9 +320,9 @@ def removed_intervals(texts: DataFrame) -> DataFrame:
     place = F.struct("doc_id", "at")
     spans = _spans(texts).withColumn("place", place).repartition("print")
     seen = spans.withColumn("first", F.min("place").over(by_span))
-    seen = seen.withColumns({"n": F.count("*").over(by_print), "least": F.min("whole").over(by_print), "most": F.max("whole").over(by_print)}).where("n > 1")
-    copies = seen.where("place != first").select("doc_id", F.col("at").alias("low"), (F.col("at") + F.col("windows") + (LENGTH - 1)).alias("high"))
-    unlike = seen.where("place = first AND least != most")
+    seen = seen.withColumns({"n": F.count("*").over(by_print), "least": F.min("whole").over(by_print), "most": F.max("whole").over(by_print)}).where("copy OR n > 1")
+    copies = seen.where("copy OR place != first").select("doc_id", F.col("at").alias("low"), (F.col("at") + F.col("windows") + (LENGTH - 1)).alias("high"))
+    unlike = seen.where("NOT copy AND place = first AND least != most")
     listed = unlike.groupBy("doc_id").agg(F.collect_list(F.struct("print", (F.col("n") > HOT).alias("hot"), "at", "windows")).alias("spans"))
     parts = _span_bytes(texts.join(listed, "doc_id"))
     merged = _merge(parts.where("NOT hot")).unionByName(_windows(parts.where("hot")))
@@ -320,7 +338,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     one text, and intervals that lie beyond a row's text do nothing.
     """
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    usable = texts.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    takes_part = F.col("doc_id").isNotNull() & F.col("text").isNotNull()
+    usable = texts.where(takes_part)
     packed = F.shiftleft("low", 32) + F.col("high")
     intervals = removed_intervals(usable).groupBy("doc_id").agg(F.collect_list(packed).alias("packed"))
-    return _digest(texts.join(intervals.withColumnRenamed("doc_id", "of"), F.col("doc_id") == F.col("of"), "left").select("doc_id", "text", "packed"))
+    # the texts meet their spans and their intervals by one and the same shuffle
+    joined = usable.join(intervals, "doc_id", "left").select("doc_id", "text", "packed")
+    return _digest(joined).unionByName(_digest(texts.where(~takes_part).withColumn("packed", F.lit(None).cast("array<bigint>"))))
