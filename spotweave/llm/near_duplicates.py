@@ -131,22 +131,31 @@ def token_at(tree: Column, level: int) -> Column:
     return F.substring("tokens", ((tree * DEPTH + level) % SIZE * 4 + 1).cast("int"), F.lit(4))
 
 
+CANDIDATES = "a long, b long, agree long"
+
+
+def candidates(rows) -> pa.RecordBatch:
+    """Rows (a, b, agree): two members and the number of minwise tokens that they share."""
+    table = np.array(rows, np.int64).reshape(-1, 3)
+    return pa.RecordBatch.from_arrays([pa.array(table[:, i]) for i in range(3)], ["a", "b", "agree"])
+
+
 def compare_leaves(leaves: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) within each node's list of members that agree on a share ``least`` of the tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: list[tuple[int, int]] = []
+            found: list[tuple[int, int, int]] = []
             for members in batch.column(0).to_pylist():
                 ids = np.array([m["rep"] for m in members])
                 tokens = np.frombuffer(b"".join(m["tokens"] for m in members), np.uint32).reshape(len(ids), SIZE)
                 for i in range(len(ids) - 1):
-                    near = np.flatnonzero((tokens[i + 1 :] == tokens[i]).sum(1) >= least * SIZE) + i + 1
-                    found += [(min(ids[i], ids[j]), max(ids[i], ids[j])) for j in near]
-            pairs = np.array(found, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                    agree = (tokens[i + 1 :] == tokens[i]).sum(1)
+                    near = np.flatnonzero(agree >= least * SIZE)
+                    found += [(min(ids[i], ids[j + i + 1]), max(ids[i], ids[j + i + 1]), agree[j]) for j in near]
+            yield candidates(found)
 
-    return leaves.select("members").mapInArrow(run, "a long, b long")
+    return leaves.select("members").mapInArrow(run, CANDIDATES)
 
 
 def compare_pivots(rows: DataFrame, least: float) -> DataFrame:
@@ -156,10 +165,11 @@ def compare_pivots(rows: DataFrame, least: float) -> DataFrame:
         for batch in batches:
             rep, pivot = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
             mine, other = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, SIZE) for i in (1, 3))
-            near = ((mine == other).sum(1) >= least * SIZE) & (rep != pivot)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rep, pivot)[near]), pa.array(np.maximum(rep, pivot)[near])], ["a", "b"])
+            agree = (mine == other).sum(1)
+            near = (agree >= least * SIZE) & (rep != pivot)
+            yield candidates(np.stack([np.minimum(rep, pivot)[near], np.maximum(rep, pivot)[near], agree[near]], 1))
 
-    return rows.select("rep", "tokens", "pivot", "pivot_tokens").mapInArrow(run, "a long, b long")
+    return rows.select("rep", "tokens", "pivot", "pivot_tokens").mapInArrow(run, CANDIDATES)
 
 
 def candidate_pairs(representatives: DataFrame, limit: float) -> tuple[DataFrame, DataFrame | None]:
@@ -214,12 +224,12 @@ def stray_pairs(stuck: DataFrame, components: DataFrame, limit: float) -> DataFr
                 tokens = np.frombuffer(b"".join(m["tokens"] for m in many), np.uint32).reshape(-1, SIZE)
                 found = []
                 for m in few:
-                    near = ((tokens == np.frombuffer(m["tokens"], np.uint32)).sum(1) >= least * SIZE) & (component != m["component"])
-                    found += [(min(m["rep"], i), max(m["rep"], i)) for i in ids[near].tolist()]
-                pairs = np.array(found, np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                    agree = (tokens == np.frombuffer(m["tokens"], np.uint32)).sum(1)
+                    near = (agree >= least * SIZE) & (component != m["component"])
+                    found += [(min(m["rep"], i), max(m["rep"], i), k) for i, k in zip(ids[near].tolist(), agree[near].tolist())]
+                yield candidates(found)
 
-    return met.select("few", "many").mapInArrow(run, "a long, b long").distinct()
+    return met.select("few", "many").mapInArrow(run, CANDIDATES).distinct()
 
 
 def confirmed_links(docs: DataFrame, pairs: DataFrame, percent: int, doc_id: str, text: str) -> DataFrame:
@@ -250,6 +260,37 @@ def confirmed_links(docs: DataFrame, pairs: DataFrame, percent: int, doc_id: str
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
+def settled_components(docs: DataFrame, pairs: DataFrame, stars: DataFrame | None, percent: int, doc_id: str, text: str) -> DataFrame:
+    """Components of all candidates that are links, and of the links in ``stars``.
+
+    A pair within a component needs no confirmation.  So each member's most promising pair is confirmed first,
+    then its most promising pair with each other component, and at last all pairs still between components.
+    The pairs confirmed are in proportion to the members, and no link between components is left out.
+    """
+    for turn in range(3):
+        named = pairs
+        if stars is not None:
+            for side in ("a", "b"):
+                of = stars.select(F.col("id").alias(side), F.col("component").alias(f"{side}_of"))
+                named = named.join(of, side, "left").withColumn(f"{side}_of", F.coalesce(f"{side}_of", side))
+        else:
+            named = named.withColumns({"a_of": F.col("a"), "b_of": F.col("b")})
+        still = checkpointed(named.where("a_of <> b_of"))
+        if still.isEmpty():
+            break
+        chosen = still
+        if turn < 2:
+            ends = F.explode(F.array(*[F.struct(F.col(x).alias("x"), F.col(y).alias("y"), F.col(f"{y}_of").alias("y_of")) for x, y in (("a", "b"), ("b", "a"))])).alias("e")
+            keys = ["x", "y_of"] if turn else ["x"]
+            best = still.select("agree", ends).select("agree", "e.*").groupBy(*keys).agg(F.max(F.struct("agree", "y")).alias("m"))
+            chosen = best.select(F.least("x", "m.y").alias("a"), F.greatest("x", "m.y").alias("b"))
+        links = confirmed_links(docs, chosen.select("a", "b").distinct(), percent, doc_id, text)
+        if stars is not None:
+            links = links.unionByName(stars.select(F.col("id").alias("a"), F.col("component").alias("b")))
+        stars = connected_components(links, "a", "b")
+    return stars if stars is not None else connected_components(pairs.select("a", "b").where("false"), "a", "b")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
@@ -263,14 +304,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
     classes = usable.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens"))
     classes = checkpointed(classes)
     pairs, stuck = candidate_pairs(classes.groupBy("rep").agg(F.min("tokens").alias("tokens")), percent / 100)
-    links = checkpointed(confirmed_links(docs, checkpointed(pairs), percent, doc_id, text))
-    components = connected_components(links, "a", "b")
+    components = settled_components(docs, checkpointed(pairs), None, percent, doc_id, text)
     if stuck is not None:
         more = checkpointed(stray_pairs(stuck, components, percent / 100))
-        if not more.isEmpty():
-            # links found before count as stars of their components
-            stars = components.select(F.col("id").alias("a"), F.col("component").alias("b"))
-            components = connected_components(confirmed_links(docs, more, percent, doc_id, text).unionByName(stars), "a", "b")
+        components = settled_components(docs, more, components, percent, doc_id, text)
     named = classes.select("k1", "k2", "n_shingles", "rep").join(components.withColumnRenamed("id", "rep"), "rep", "left").select("k1", "k2", F.col("n_shingles").alias("size"), F.coalesce("component", "rep").alias("component"))
     keys = (F.col("s.k1") == F.col("c.k1")) & (F.col("s.k2") == F.col("c.k2")) & (F.col("s.n_shingles") == F.col("c.size"))
     joined = signed.drop("tokens").alias("s").join(named.alias("c"), keys & F.col("s.doc_id").isNotNull() & (F.col("s.n_shingles") > 0), "left")
