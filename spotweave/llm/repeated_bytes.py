@@ -30,7 +30,7 @@ from pyspark.sql.window import Window
 from spotweave.llm.batches import steps
 
 LENGTH, K = 100, 32
-SHARD_BYTES, MERGE_BYTES, HOT = 16_384, 65_536, 20_000
+SHARD_BYTES, MERGE_BYTES, HOT = 16_384, 32_768, 20_000
 PLACE_BITS = 28
 
 _random = np.random.default_rng(97)
@@ -159,16 +159,19 @@ def merged_intervals(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nda
         moves.append(lf + base)
         is_end.append(np.arange(len(order)) < len(numbers))
         base += len(order)
-    # bytes of UTF-8 are below 248, so that a symbol fits a byte, and a stable sort of bytes is one counting pass
-    symbol, move = np.concatenate(symbols).astype(np.uint8), np.concatenate(moves).astype(np.int32)
-    ends = np.flatnonzero(np.concatenate(is_end)).astype(np.int32)
-    interleave, interval = np.arange(base, dtype=np.int32), np.zeros(base, np.int32)
-    cut = np.zeros(base, bool)
+    # bytes of UTF-8 are below 248, so that a symbol fits a byte, and a stable sort of bytes is one counting pass;
+    # a suffix's symbol and its LF mapping are read together
+    packed = np.concatenate(moves) << 8 | np.concatenate(symbols)
+    ends = np.flatnonzero(np.concatenate(is_end))
+    interleave, interval = np.arange(base), np.zeros(base, np.int32)
+    step, moved, before, cut = np.empty_like(packed), np.empty_like(packed), np.empty_like(interval), np.zeros(base, bool)
     for _ in range(LENGTH):
-        seen = symbol[interleave]
-        order = np.argsort(seen, kind="stable")
-        seen, before = seen[order], interval[order]
-        interleave = move[interleave[order]]
+        np.take(packed, interleave, out=step, mode="clip")
+        order = step.astype(np.uint8).argsort(kind="stable")
+        np.take(step, order, out=moved, mode="clip")
+        np.take(interval, order, out=before, mode="clip")
+        seen = moved.astype(np.uint8)
+        np.right_shift(moved, 8, out=interleave)
         interleave[: len(ends)] = ends  # the ends stay in the order of their texts
         np.not_equal(seen[1:], seen[:-1], out=cut[1:])
         cut[1:] |= before[1:] != before[:-1]
