@@ -13,6 +13,7 @@ documents.
 
 from __future__ import annotations
 
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,8 +28,11 @@ BLOCK_ITEMS = 5_000
 
 
 def folded(text: str | None) -> str:
-    """A-Z in lower case and white space as single blanks, as UTF-8 bytes that stand for characters."""
-    return b" ".join((text or "").encode().lower().split()).decode("latin-1")
+    """Case folded over Unicode, composed (NFC), white space as single blanks; as UTF-8 bytes that stand for characters."""
+    text = text or ""
+    if not text.isascii():  # decomposed before, so that marks in any order fold alike (Unicode, D145)
+        text = unicodedata.normalize("NFC", unicodedata.normalize("NFD", text).casefold())
+    return b" ".join(text.encode().lower().split()).decode("latin-1")
 
 
 @dataclass(frozen=True)

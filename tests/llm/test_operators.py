@@ -269,6 +269,22 @@ def test_leaks_against_all_pairs(spark):
     assert sorted(str(r["doc_id"]) for r in clean.collect()) == sorted(map(str, stay))
 
 
+def test_leaks_in_upper_case(spark):
+    """Capitals beyond A-Z, and letters with their marks apart, are no errors: against a fold by a table of letters."""
+    small, capital, apart = "ñóüéàčœя", "ÑÓÜÉÀČŒЯ", ["n\u0303", "o\u0301", "u\u0308", "e\u0301", "a\u0300", "c\u030c", "œ", "я"]
+    rng = random.Random(3)
+    item = " ".join("".join(rng.choice("abcde" + small) for _ in range(rng.randint(3, 8))) for _ in range(20))
+    table = {**dict(zip(small, capital)), **dict(zip("abcde", "ABCDE"))}
+    upper = "".join(table.get(c, c) for c in item)
+    marks = "".join(dict(zip(small, apart)).get(c, c) for c in item)
+    back = {v: k for k, v in table.items()}
+    assert decontamination.folded(upper) == decontamination.folded(marks) == "".join(back.get(c, c) for c in upper).encode().decode("latin-1")
+    frame = spark.createDataFrame([(1, f"Before {upper} after"), (2, f"Before {marks} after"), (3, "Before and after")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item), (8, "Straße über alles gut " * 4)], "item_id long, text string")
+    assert sorted(map(tuple, decontamination.find_leaks(frame, bench).collect())) == [(1, 7, 0), (2, 7, 0)]
+    assert [r["doc_id"] for r in decontamination.keep_clean(frame, bench).collect()] == [3]
+
+
 # ---- 5 ----
 
 
