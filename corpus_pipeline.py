@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spotweave.llm.batches import read_table
-from spotweave.llm.decontamination import keep_clean
+from spotweave.llm.decontamination import BUDGET_PERCENT, keep_clean
 from spotweave.llm.mixing import mix
 from spotweave.llm.near_duplicates import keep_one_of_each
 from spotweave.llm.pii import mask_personal_data
@@ -40,7 +40,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of ``benchmark``."""
-    return keep_clean(docs, read_table(spark, sf_dir, "benchmark"))
+    return keep_clean(docs, read_table(spark, sf_dir, "benchmark"), BUDGET_PERCENT)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

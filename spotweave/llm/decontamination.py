@@ -1,10 +1,13 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 A test item of m bytes has an error budget of ``budget_percent`` of m.  It is split into one piece more
-than errors are allowed, so any passage within the budget holds at least one piece unchanged.  An
-Aho-Corasick automaton finds all exact piece hits in a document in one scan; each hit places the item in
-the text, and Myers' bit-parallel algorithm gives the least edit distance of the item to any passage
-there.  Case and white space are folded before.
+than errors are allowed, and the pieces are taken in pairs, with a last one alone if their number is odd:
+if each pair had two errors and the single piece one, they would be more than allowed.  So any passage
+within the budget holds the single piece unchanged, or some piece unchanged beside its partner with at
+most one error.  An Aho-Corasick automaton finds all exact piece hits in a document in one scan; a look at
+the partner drops the chance hits; each hit that is left places the item in the text, and Myers'
+bit-parallel algorithm gives the least edit distance of the item to any passage there.  Case and white
+space are folded before.
 
 Documents are only mapped, never shuffled.  The test items go out in blocks of at most BLOCK_ITEMS, so
 that what is broadcast is bounded however many there are; each block is a pass of its own over all
@@ -25,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_ITEMS = 5_000
+#: Errors allowed in the query and in the pipeline, as a share of an item's bytes.
+BUDGET_PERCENT = 10
 
 
 def folded(text: str | None) -> str:
@@ -85,13 +90,26 @@ def least_distance(pattern: str, passage: str, most: int) -> int:
     return min(best, most + 1)
 
 
+def begins(text: str, piece: str) -> bool:
+    """Whether the text begins with the piece, but for one edit at most."""
+    n, same = len(piece), 0
+    for a, b in zip(text, piece):
+        if a != b:
+            break
+        same += 1
+    rest = piece[same + 1 :]
+    return same == n or text[same + 1 : n] == rest or text[same : n - 1] == rest or text[same + 1 : n + 1] == piece[same:]
+
+
 @lru_cache(maxsize=2)
 def automaton(items: tuple[Item, ...]):
-    """Pieces of all items, each with the items and places that it belongs to."""
-    places: dict[str, list[tuple[int, int]]] = defaultdict(list)
+    """Pieces of all items, each with the items and places that it belongs to, and its partners behind and, reversed, before it."""
+    places: dict[str, list[tuple[int, int, str, str]]] = defaultdict(list)
     for n, item in enumerate(items):
-        for low, piece in item.pieces():
-            places[piece].append((n, low))
+        pieces = item.pieces()
+        for i, (low, piece) in enumerate(pieces):
+            behind = pieces[i + 1][1] if i % 2 == 0 and i + 1 < len(pieces) else ""
+            places[piece].append((n, low, behind, pieces[i - 1][1][::-1] if i % 2 else ""))
     built = ahocorasick.Automaton()
     for piece, of in places.items():
         built.add_word(piece, (len(piece), of))
@@ -106,8 +124,14 @@ def leaks(text: str | None, items: tuple[Item, ...]) -> dict[int, int]:
         return {}
     starts: dict[int, set[int]] = defaultdict(set)
     for end, (size, of) in automaton(items).iter(whole):
-        for n, low in of:
-            starts[n].add(end + 1 - size - low)
+        first = end + 1 - size
+        for n, low, behind, before in of:
+            if behind:
+                near = begins(whole[end + 1 : end + 2 + len(behind)], behind)
+            else:  # an empty partner, of a piece alone, is always there
+                near = begins(whole[max(0, first - len(before) - 1) : first][::-1], before)
+            if near:
+                starts[n].add(first - low)
     found: dict[int, int] = {}
     for n, places in starts.items():
         item = items[n]

@@ -285,6 +285,38 @@ def test_leaks_in_upper_case(spark):
     assert [r["doc_id"] for r in decontamination.keep_clean(frame, bench).collect()] == [3]
 
 
+def test_leaks_with_a_replaced_word(spark, tmp_path):
+    """The query and the pipeline's stage find a short item with a longer word replaced, which is above 6 %."""
+    import corpus_pipeline
+    from spotweave.llm.queries import op4_decontamination
+
+    item = "the old miller counted seven grey sacks before the bridge gave way under his cart"
+    changed = item.replace("bridge", "plaque")
+    distance = least_edit(item, changed)
+    assert len(item) == 81 and len(item) * 6 // 100 < distance <= len(item) * 10 // 100
+    docs = spark.createDataFrame([(1, f"It is said that {changed} last year"), (2, "It is said that last year the old miller counted")], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(7, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert list(map(tuple, op4_decontamination(spark, str(tmp_path)).collect())) == [(1, 7, distance)]
+    assert [r["doc_id"] for r in corpus_pipeline.benchmark_decontamination(spark, docs, str(tmp_path)).collect()] == [2]
+
+
+def test_partner_filter_loses_nothing():
+    """Few letters, so that chance hits are many, and up to one error above the budget, at the text's ends as well."""
+    rng = random.Random(4)
+    for _ in range(1500):
+        letters = rng.choice(["ab", "abc", "abcdefgh"])
+        pattern = "".join(rng.choice(letters) for _ in range(rng.randint(8, 60)))
+        items = decontamination.make_items([(1, pattern)], rng.choice([0, 6, 10, 15]))
+        s = list(pattern)
+        for _ in range(rng.randint(0, items[0].budget + 1)):
+            k = rng.randrange(len(s))
+            s[k : k + 1] = rng.choice([[], [rng.choice(letters)], [s[k], rng.choice(letters)]])
+        text = "".join(rng.choice(letters) for _ in range(rng.choice([0, 3, 20]))) + "".join(s) + "".join(rng.choice(letters) for _ in range(rng.choice([0, 3, 20])))
+        want = least_edit(pattern, text)
+        assert decontamination.leaks(text, items) == ({1: want} if want <= items[0].budget else {})
+
+
 # ---- 5 ----
 
 
