@@ -1,8 +1,8 @@
 """MinHash near-duplicates by a chosen-path similarity join.
 
 A document's set is its distinct five-word shingles as 64-bit hashes, and its minwise tokens are the
-least values of SIZE hash functions over the set.  Equal sets are one class and are represented by one
-member, so thousands of exact copies cost one row.  Each of TREES independent trees branches the
+least values of SIZE or more hash functions over the set.  Equal sets are one class and are represented by
+one member, so thousands of exact copies cost one row.  Each of some independent trees branches the
 representatives by one minwise token a level: those with equal tokens so far share a node.  A node of at
 most LEAF members is compared exhaustively on all minwise tokens.  A larger node branches on, down to
 DEPTH levels; before, all its members are compared with one pivot, drawn by hash, so that a node of
@@ -11,13 +11,15 @@ Pairs that look near are confirmed on the full sets, and links become components
 at the last level, the members outside the node's largest component are then compared with all members,
 block by block, so that no link is lost to the pivots' draw.
 
-A pair of similarity s shares a node of depth d in a tree with probability s**d.  Nodes rarely go beyond
-depth two, where fifteen trees miss a pair at the limit of 0.85 hardly once in a hundred million; at depth
-four, once in sixty thousand.
+A pair of similarity s shares a node of depth d in a tree with probability s**d.  There are as many trees as
+let a pair at the limit that needs all DEPTH levels be missed once in 1 / MISS at most: fifteen at a limit of
+0.85, 21 at 0.80.  Each level of each tree has a token of its own.  Nodes rarely go beyond depth two, where
+such a pair is missed hardly once in a hundred million.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +32,9 @@ from spotweave.llm.components import connected_components
 from spotweave.storage import checkpointed
 
 WIDTH = 5  # words of a shingle
-SIZE = 64  # minwise tokens
-TREES, DEPTH, LEAF = 15, 4, 48
+SIZE = 64  # minwise tokens, at least
+DEPTH, LEAF = 4, 48
+MISS = 1 / 60_000  # share of the pairs at the limit that all trees may miss at the last level
 STRAY_BLOCK, MEMBER_BLOCK = 64, 256
 LOOKS_NEAR = 0.23  # how far below the limit an estimate may be: five standard deviations
 
@@ -55,6 +58,23 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def tree_count(limit: float) -> int:
+    """The least number of independent trees that miss a pair at the limit, at the last level, with probability MISS at most."""
+    miss = 1 - limit**DEPTH
+    return 1 if miss <= MISS else math.ceil(math.log(MISS) / math.log(miss))
+
+
+def token_count(limit: float) -> int:
+    """Minwise tokens of a set: one for each level of each tree, so that no two trees are alike."""
+    return max(SIZE, tree_count(limit) * DEPTH)
+
+
+def hash_functions(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and shifts; the first SIZE are the same for any size."""
+    more = np.random.default_rng(20240502).integers(0, 1 << 63, (max(0, size - SIZE), 2), dtype=np.uint64)
+    return np.concatenate([_FACTOR, more[:, 0] * np.uint64(2) + np.uint64(1)])[:size], np.concatenate([_SHIFT, more[:, 1]])[:size]
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     if n:
@@ -97,27 +117,28 @@ def shingle_sets(offsets: np.ndarray, data: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def minwise(sets: list[np.ndarray]) -> np.ndarray:
-    """The minwise tokens of each set, a row of SIZE 32-bit numbers; an empty set gets zeros."""
-    out = np.zeros((len(sets), SIZE), np.uint32)
+def minwise(sets: list[np.ndarray], size: int = SIZE) -> np.ndarray:
+    """The minwise tokens of each set, a row of ``size`` 32-bit numbers; an empty set gets zeros."""
+    out = np.zeros((len(sets), size), np.uint32)
+    factor, shift = hash_functions(size)
     some = np.flatnonzero([len(s) > 0 for s in sets])
     if len(some):
         flat = np.concatenate([sets[i] for i in some])
         starts = np.cumsum([0, *(len(sets[i]) for i in some[:-1])])
-        for k in range(SIZE):
-            out[some, k] = np.minimum.reduceat(((flat * _FACTOR[k] + _SHIFT[k]) >> np.uint64(32)).astype(np.uint32), starts)
+        for k in range(size):
+            out[some, k] = np.minimum.reduceat(((flat * factor[k] + shift[k]) >> np.uint64(32)).astype(np.uint32), starts)
     return out
 
 
-def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, n_shingles, k1, k2, tokens): k1 and k2 name the set, tokens are SIZE little-endian 32-bit numbers."""
+def signatures(docs: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, n_shingles, k1, k2, tokens): k1 and k2 name the set, tokens are ``size`` little-endian 32-bit numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
             for low, high, offsets, data in steps(batch.column(1), 1 << 18):
                 sets = shingle_sets(offsets, data)
-                tokens = minwise(sets)
+                tokens = minwise(sets, size)
                 k1 = np.array([mixed(s).sum() for s in sets], np.uint64).view(np.int64)
                 k2 = np.array([mixed(s * _FACTOR[0]).sum() for s in sets], np.uint64).view(np.int64)
                 columns = [ids.slice(low, high - low), pa.array([len(s) for s in sets], pa.int64()), pa.array(k1), pa.array(k2), pa.array([t.tobytes() for t in tokens], pa.binary())]
@@ -128,7 +149,7 @@ def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def token_at(tree: Column, level: int) -> Column:
     """The token by which a tree branches at a level."""
-    return F.substring("tokens", ((tree * DEPTH + level) % SIZE * 4 + 1).cast("int"), F.lit(4))
+    return F.substring("tokens", ((tree * DEPTH + level) * 4 + 1).cast("int"), F.lit(4))
 
 
 CANDIDATES = "a long, b long, agree long"
@@ -140,7 +161,7 @@ def candidates(rows) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(table[:, i]) for i in range(3)], ["a", "b", "agree"])
 
 
-def compare_leaves(leaves: DataFrame, least: float) -> DataFrame:
+def compare_leaves(leaves: DataFrame, size: int, least: float) -> DataFrame:
     """Pairs (a, b) within each node's list of members that agree on a share ``least`` of the tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,25 +169,25 @@ def compare_leaves(leaves: DataFrame, least: float) -> DataFrame:
             found: list[tuple[int, int, int]] = []
             for members in batch.column(0).to_pylist():
                 ids = np.array([m["rep"] for m in members])
-                tokens = np.frombuffer(b"".join(m["tokens"] for m in members), np.uint32).reshape(len(ids), SIZE)
+                tokens = np.frombuffer(b"".join(m["tokens"] for m in members), np.uint32).reshape(len(ids), size)
                 for i in range(len(ids) - 1):
                     agree = (tokens[i + 1 :] == tokens[i]).sum(1)
-                    near = np.flatnonzero(agree >= least * SIZE)
+                    near = np.flatnonzero(agree >= least * size)
                     found += [(min(ids[i], ids[j + i + 1]), max(ids[i], ids[j + i + 1]), agree[j]) for j in near]
             yield candidates(found)
 
     return leaves.select("members").mapInArrow(run, CANDIDATES)
 
 
-def compare_pivots(rows: DataFrame, least: float) -> DataFrame:
+def compare_pivots(rows: DataFrame, size: int, least: float) -> DataFrame:
     """Pairs (a, b) of a row's member and pivot that agree on a share ``least`` of the tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rep, pivot = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
-            mine, other = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, SIZE) for i in (1, 3))
+            mine, other = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, size) for i in (1, 3))
             agree = (mine == other).sum(1)
-            near = (agree >= least * SIZE) & (rep != pivot)
+            near = (agree >= least * size) & (rep != pivot)
             yield candidates(np.stack([np.minimum(rep, pivot)[near], np.maximum(rep, pivot)[near], agree[near]], 1))
 
     return rows.select("rep", "tokens", "pivot", "pivot_tokens").mapInArrow(run, CANDIDATES)
@@ -178,21 +199,21 @@ def candidate_pairs(representatives: DataFrame, limit: float) -> tuple[DataFrame
     Also the members (node, rep, tokens, members) of nodes that are large at the last level; none if there
     are no such nodes.
     """
-    least = limit - LOOKS_NEAR
-    tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
+    least, size = limit - LOOKS_NEAR, token_count(limit)
+    tree = F.explode(F.sequence(F.lit(0), F.lit(tree_count(limit) - 1)))
     frontier = representatives.select("rep", "tokens", tree.alias("tree")).select("rep", "tree", F.xxhash64("tree", token_at(F.col("tree"), 0)).alias("node"))
     pairs, large = None, None
     for level in range(DEPTH):
         sizes = frontier.groupBy("node").agg(F.count("*").alias("members")).where("members > 1")
         shared = checkpointed(frontier.join(sizes, "node").join(representatives, "rep"))
         small = shared.where(F.col("members") <= LEAF).groupBy("node").agg(F.collect_list(F.struct("rep", "tokens")).alias("members"))
-        found = compare_leaves(small, least)
+        found = compare_leaves(small, size, least)
         large = shared.where(F.col("members") > LEAF)
         if large.isEmpty():
             return (found if pairs is None else pairs.unionByName(found)).distinct(), None
         draw = F.struct(F.xxhash64("node", "rep").alias("draw"), F.col("rep").alias("pivot"), F.col("tokens").alias("pivot_tokens"))
         pivots = large.groupBy("node").agg(F.min(draw).alias("drawn")).select("node", "drawn.pivot", "drawn.pivot_tokens")
-        found = found.unionByName(compare_pivots(large.join(pivots, "node"), least))
+        found = found.unionByName(compare_pivots(large.join(pivots, "node"), size, least))
         pairs = found if pairs is None else pairs.unionByName(found)
         if level + 1 < DEPTH:
             frontier = large.select("rep", "tree", F.xxhash64("node", token_at(F.col("tree"), level + 1)).alias("node"))
@@ -204,7 +225,7 @@ def stray_pairs(stuck: DataFrame, components: DataFrame, limit: float) -> DataFr
 
     Strays and members meet in blocks: each row holds a block of either, and nothing is emitted but pairs.
     """
-    least = limit - LOOKS_NEAR
+    least, width = limit - LOOKS_NEAR, token_count(limit)
     named = stuck.join(components.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     sizes = named.groupBy("node", "component").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("node").agg(F.max(F.struct("n", F.col("component").alias("main"))).alias("m"), F.sum("n").alias("all")).select("node", "m.main", (F.col("all") - F.col("m.n")).alias("strays"))
@@ -221,11 +242,11 @@ def stray_pairs(stuck: DataFrame, components: DataFrame, limit: float) -> DataFr
         for batch in batches:
             for few, many in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids, component = (np.array([m[k] for m in many]) for k in ("rep", "component"))
-                tokens = np.frombuffer(b"".join(m["tokens"] for m in many), np.uint32).reshape(-1, SIZE)
+                tokens = np.frombuffer(b"".join(m["tokens"] for m in many), np.uint32).reshape(-1, width)
                 found = []
                 for m in few:
                     agree = (tokens == np.frombuffer(m["tokens"], np.uint32)).sum(1)
-                    near = (agree >= least * SIZE) & (component != m["component"])
+                    near = (agree >= least * width) & (component != m["component"])
                     found += [(min(m["rep"], i), max(m["rep"], i), k) for i, k in zip(ids[near].tolist(), agree[near].tolist())]
                 yield candidates(found)
 
@@ -299,7 +320,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, doc_id: str = "doc_id",
     A row without an id is linked with nothing, has no component and is kept.  Repeated rows are in one
     component; rows of one id count as one document.  Other columns are not read.
     """
-    signed = checkpointed(signatures(docs, doc_id, text))
+    signed = checkpointed(signatures(docs, token_count(percent / 100), doc_id, text))
     usable = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = usable.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens"))
     classes = checkpointed(classes)

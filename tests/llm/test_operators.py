@@ -505,6 +505,28 @@ def test_near_duplicates(spark, monkeypatch):
     assert sorted(str(r["doc_id"]) for r in stay.collect()) == sorted([*(str(i) for i in rows if want[i][1] == i), "None"])
 
 
+def test_trees_keep_their_recall_at_any_limit():
+    """The share of pairs at the limit that no tree holds to its last level, by drawing which minwise tokens of a pair agree."""
+    rng = np.random.default_rng(6)
+    for limit, trees in ((0.85, 15), (0.8, 21), (0.5, None)):
+        n = near_duplicates.tree_count(limit)
+        assert trees in (None, n) and (1 - limit**near_duplicates.DEPTH) ** n <= near_duplicates.MISS < (1 - limit**near_duplicates.DEPTH) ** (n - 1)
+        assert near_duplicates.token_count(limit) >= n * near_duplicates.DEPTH
+    agree = rng.random((400_000, near_duplicates.token_count(0.8))) < 0.8
+    n = near_duplicates.tree_count(0.8)
+    held = agree[:, : n * near_duplicates.DEPTH].reshape(len(agree), n, near_duplicates.DEPTH).all(2).any(1)
+    assert (~held).sum() <= 20  # 6 or 7 expected; with fifteen trees 148
+
+
+def test_minwise_tokens_of_all_sizes():
+    """More tokens leave the first as they are, are unlike each other, and agree as often as sets are similar."""
+    x = near_duplicates.mixed(np.arange(9000, dtype=np.uint64))
+    sets = [np.sort(x[:8000]), np.sort(x[1000:])]
+    few, many = near_duplicates.minwise(sets), near_duplicates.minwise(sets, 1024)
+    assert (many[:, :64] == few).all() and len(np.unique(many[0])) > 1000
+    assert abs((many[0] == many[1]).mean() - 7 / 9) < 0.07
+
+
 def test_components(spark):
     from spotweave.llm.components import connected_components
 
