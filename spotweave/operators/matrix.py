@@ -8,14 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Side tables of at most so many rows are broadcast; larger ones are joined by shuffle.
-BROADCAST_ROWS = 2_000_000
-
-
-def small(frame: DataFrame) -> DataFrame:
-    """The frame, marked for broadcast if its size allows."""
-    return F.broadcast(frame) if frame.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else frame
-
+from spotweave.storage import small_side as small
 
 def spot_coordinates(counts: DataFrame) -> DataFrame:
     """Adds sx and sy, read from the spot's label; fractional labels are read too."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from spotweave.storage import checkpointed
+from spotweave.storage import stored
 
 
 def numbered(records: DataFrame, order: list[str], name: str = "idx") -> DataFrame:
@@ -17,7 +17,7 @@ def numbered(records: DataFrame, order: list[str], name: str = "idx") -> DataFra
     Ranges of the order are numbered side by side, from the sums of the sizes of the ranges before.  The ranges
     are drawn by sampling, so they are written down before they are used twice.
     """
-    ranged = checkpointed(records.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    ranged = stored(records.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
     ranged = ranged.withColumn("_in", F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1)
     sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
     before = sizes.select(F.col("_part").alias("_of"), F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
