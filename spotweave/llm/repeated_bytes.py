@@ -7,9 +7,10 @@ A byte is removed if a string of LENGTH bytes over it also starts earlier in the
    one fingerprint.  Spans equal as a whole are one text: of these all but the earliest are removed at once.
 2. Where a fingerprint has unlike spans, its distinct spans are compared window by window.  A task cuts its
    spans into shards, sorts each shard's suffixes into a Burrows-Wheeler transform, and merges the transforms
-   of all shards by interleave refinement: each round moves the interleave one symbol to the left by the
-   shards' own LF mappings, so that after LENGTH rounds suffixes with a common prefix of LENGTH bytes form
-   one interval.  No suffix is sorted again.  In each interval all windows but the earliest repeat.
+   of all shards by interleave refinement: each round moves the interleave STRIDE symbols to the left by the
+   shards' own LF mappings and gives the common prefixes of neighbours that it parts, so that in the end
+   suffixes with a common prefix of LENGTH bytes form one interval.  No suffix is sorted again.  In each
+   interval all windows but the earliest repeat.
 3. The removed intervals meet their texts by document.
 
 A fingerprint of more than HOT spans would be too much for one task; its windows go one by one through a
@@ -30,8 +31,9 @@ from pyspark.sql.window import Window
 from spotweave.llm.batches import steps
 
 LENGTH, K = 100, 32
+STRIDE = 4  # symbols by which a round of the merge goes to the left
 SHARD_BYTES, MERGE_BYTES, HOT = 16_384, 32_768, 20_000
-PLACE_BITS = 28
+PLACE_BITS = 40  # of a window's least hash, the low bits hold the gram's place; no text is as long
 
 _random = np.random.default_rng(97)
 _BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -103,38 +105,46 @@ def spans_of(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def shard_transform(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix array and transform of texts that each end in a zero symbol; ends sort by text number.
+    """Suffix array and transform of texts that each end in a zero symbol; equal suffixes sort by text number.
 
-    Symbols are bytes + 1, so that the ends are least.  Suffixes are ranked by doubling prefixes.
+    Symbols are bytes + 1, so that the ends are least.  Suffixes are ranked by their first five symbols, and
+    then by doubling prefixes; a key's low bits are the suffix's place, so that any sort of keys is stable.
     """
     data = np.frombuffer(b"".join(t + b"\0" for t in texts), np.uint8).astype(np.int64) + 1
     lengths = np.array([len(t) + 1 for t in texts])
     ends = np.cumsum(lengths) - 1
     data[ends] = 0
-    n, m = len(data), len(texts)
-    rank = data + m - 1
-    rank[ends] = np.arange(m)
-    left = np.repeat(ends, lengths) - np.arange(n)
-    width = 1
+    n, bits = len(data), len(data).bit_length()
+    left, place = np.repeat(ends, lengths) - np.arange(n), np.arange(n)
+    key, width = data, 5
+    padded = np.append(data, np.zeros(width, np.int64))
+    for k in range(1, width):
+        key = key << 8 | np.where(left >= k, padded[k : k + n], 0)
     while True:
-        follow = np.where(left >= width, np.append(rank[width:], np.zeros(width, np.int64)) + 1 if width < n else 0, 0)
-        key = rank * (n + m + 300) + follow
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
+        ranked = np.sort(key << bits | place)
+        order, ranked = ranked & ((1 << bits) - 1), ranked >> bits
         rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate([[0], sorted_key[1:] != sorted_key[:-1]]))
-        width *= 2
+        rank[order] = np.cumsum(np.concatenate([[0], ranked[1:] != ranked[:-1]]))
         if rank[order[-1]] == n - 1 or width >= lengths.max():
             break
+        follow = np.where(left >= width, np.append(rank[width:], np.zeros(min(n, width), np.int64)) + 1, 0)
+        key = rank << bits | follow
+        width *= 2
     before = data[order - 1]
     before[np.isin(order, np.concatenate([[0], ends[:-1] + 1]))] = 0
     return order, before
 
 
-def merged_intervals(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(interval, text, place) of all windows of LENGTH bytes; windows of one interval are equal.
+def merged_prefixes(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(shared, text, place, room) of all suffixes in the order of their first LENGTH symbols.
+
+    ``shared`` is the prefix that a suffix has in common with the one before, in whole strides; ``room`` is
+    its length.  Equal prefixes stand in no fixed order, and neither do suffixes shorter than LENGTH.
 
-    The transforms of the shards are merged by refining their interleave for LENGTH rounds.
+    The transforms of the shards are merged by refining their interleave.  A round takes the interleave, sorted
+    by so many symbols, STRIDE symbols to the left by the shards' LF mapping, applied STRIDE times, and deals it
+    out, in order, by these symbols; then it is sorted by STRIDE symbols more.  Where a round first parts two
+    neighbours, their common prefix is known.
     """
     shards, size = [[]], 0
     for i, text in enumerate(texts):
@@ -143,7 +153,7 @@ def merged_intervals(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nda
             size = 0
         shards[-1].append(i)
         size += len(text) + 1
-    places, owners, rooms, symbols, moves, is_end, base = [], [], [], [], [], [], 0
+    places, owners, rooms, symbols, moves, base = [], [], [], [], [], 0
     for numbers in shards:
         order, before = shard_transform([texts[i] for i in numbers])
         lengths = np.array([len(texts[i]) + 1 for i in numbers])
@@ -153,33 +163,43 @@ def merged_intervals(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nda
         owners.append(np.array(numbers)[owner[order]])
         rooms.append(lengths[owner[order]] - 1 - places[-1])
         symbols.append(before)
-        # LF mapping: the symbols' stable order gives the places of the suffixes one symbol longer
+        # LF mapping: the symbols' stable order gives the places of the suffixes one symbol longer; texts' ends map
+        # to ends, so that it is a permutation; what lies beyond an end is never looked at
         lf = np.empty(len(order), np.int64)
-        lf[np.argsort(before, kind="stable")] = np.arange(len(order))
+        lf[np.argsort(before.astype(np.uint8), kind="stable")] = np.arange(len(order))
         moves.append(lf + base)
-        is_end.append(np.arange(len(order)) < len(numbers))
         base += len(order)
-    # bytes of UTF-8 are below 248, so that a symbol fits a byte, and a stable sort of bytes is one counting pass;
-    # a suffix's symbol and its LF mapping are read together
-    packed = np.concatenate(moves) << 8 | np.concatenate(symbols)
-    ends = np.flatnonzero(np.concatenate(is_end))
-    interleave, interval = np.arange(base), np.zeros(base, np.int32)
-    step, moved, before, cut = np.empty_like(packed), np.empty_like(packed), np.empty_like(interval), np.zeros(base, bool)
-    for _ in range(LENGTH):
-        np.take(packed, interleave, out=step, mode="clip")
-        order = step.astype(np.uint8).argsort(kind="stable")
-        np.take(step, order, out=moved, mode="clip")
-        np.take(interval, order, out=before, mode="clip")
-        seen = moved.astype(np.uint8)
-        np.right_shift(moved, 8, out=interleave)
-        interleave[: len(ends)] = ends  # the ends stay in the order of their texts
-        np.not_equal(seen[1:], seen[:-1], out=cut[1:])
+    # bytes of UTF-8 are below 248, so that a symbol fits a byte
+    lf, symbol = np.concatenate(moves), np.concatenate(symbols)
+    key, move = symbol, lf
+    for k in range(1, STRIDE):
+        key, move = key | symbol[move] << 8 * k, lf[move]
+    # few of the possible strides occur, so that their ranks mostly fit two bytes, whose stable sort is two counting passes
+    seen, key = np.unique(key, return_inverse=True)
+    key, move = key.astype(np.min_scalar_type(len(seen))), move.astype(np.int32)
+    interleave, interval = np.arange(base, dtype=np.int32), np.zeros(base, np.int32)
+    depth, cut, old = np.full(base, LENGTH, np.int16), np.zeros(base, bool), np.zeros(base, bool)
+    for done in range(0, LENGTH, STRIDE):
+        step = key[interleave]
+        order = step.argsort(kind="stable")
+        step, before, interleave = step[order], interval[order], move[interleave[order]]
+        np.not_equal(step[1:], step[:-1], out=cut[1:])
         cut[1:] |= before[1:] != before[:-1]
-        cut[1 : len(ends)] = False  # all ends count as one symbol
-        np.cumsum(cut, out=interval)
-    full = np.concatenate(rooms)[interleave] >= LENGTH
-    interleave, interval = interleave[full], interval[full]
-    return interval, np.concatenate(owners)[interleave], np.concatenate(places)[interleave]
+        depth[cut & ~old] = done
+        cut, old = old, cut
+        np.cumsum(old, out=interval)
+    depth[0] = 0
+    return depth, np.concatenate(owners)[interleave], np.concatenate(places)[interleave], np.concatenate(rooms)[interleave]
+
+
+def merged_intervals(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(interval, text, place) of all windows of LENGTH bytes; windows of one interval are equal.
+
+    An interval is a run of suffixes with common prefixes of LENGTH.
+    """
+    shared, text, place, room = merged_prefixes(texts)
+    interval, full = np.cumsum(shared < LENGTH), room >= LENGTH
+    return interval[full], text[full], place[full]
 
 
 def repeated_windows(texts: list[bytes], docs: np.ndarray, starts: np.ndarray) -> list[tuple[int, int, int]]:

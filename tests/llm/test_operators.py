@@ -371,6 +371,21 @@ def test_interval_merge_is_the_sort_by_prefix():
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, groups.values()))
 
 
+def test_merge_gives_common_prefixes():
+    """Against prefixes compared byte by byte, over several shards; no end of a text counts as equal."""
+    rng = random.Random(5)
+    base = bytes(rng.choice(b"abc") for _ in range(400))
+    texts = [base[s : s + rng.randint(1, 200)] for s in (rng.randrange(300) for _ in range(150))]
+    shared, text, place, room = repeated_bytes.merged_prefixes(texts)
+    full = [(s, texts[t][p:][:100]) for s, t, p, r in zip(shared, text, place, room) if r >= 100]
+    assert len(full) == sum(max(0, len(t) - 99) for t in texts) and len(shared) == sum(len(t) + 1 for t in texts)
+    assert [t for _, t in full] == sorted(t for _, t in full)
+    where = np.flatnonzero(room >= 100)
+    for (_, before), (_, after), low, high in zip(full, full[1:], where, where[1:]):
+        common = next((i for i in range(100) if before[i] != after[i]), 100)
+        assert min(shared[low + 1 : high + 1]) == common // repeated_bytes.STRIDE * repeated_bytes.STRIDE
+
+
 # ---- 6 ----
 
 
