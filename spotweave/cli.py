@@ -28,13 +28,13 @@ def base_name(path: str) -> str:
     return path.rstrip("/").split("/")[-1].split(".")[0]
 
 
-def st_pipeline_run(spark: SparkSession, arguments: list[str]) -> None:
+def count_reads(spark: SparkSession, arguments: list[str]) -> None:
     stats = pipeline.run(spark, from_arguments(arguments))
     for key, value in stats.items():
         log.info("%s: %s", key, value)
 
 
-def st_qa(spark: SparkSession, arguments: list[str]) -> None:
+def matrix_report(spark: SparkSession, arguments: list[str]) -> None:
     """Statistics as text, and the frames of the plots."""
     p = argparse.ArgumentParser()
     p.add_argument("--input-data", required=True)
@@ -60,7 +60,7 @@ def named_datasets(spark: SparkSession, paths: list[str]) -> DataFrame:
     return out
 
 
-def multi_qa_tool(spark: SparkSession, arguments: list[str]) -> None:
+def compare_matrices(spark: SparkSession, arguments: list[str]) -> None:
     """Similarities and correlations of two or more matrices, their violins and their principal components."""
     p = argparse.ArgumentParser()
     p.add_argument("--counts-table-files", nargs="+", required=True)
@@ -123,8 +123,8 @@ def adjust_matrix_coordinates(spark: SparkSession, arguments: list[str]) -> None
 
 
 TOOLS = {
-    "st_pipeline_run": st_pipeline_run, "st_qa": st_qa, "multi_qa": multi_qa_tool, "merge_fastq": merge_fastq,
-    "filter_gene_type_matrix": filter_gene_type_matrix, "convertEnsemblToNames": convert_ensembl_to_names, "adjust_matrix_coordinates": adjust_matrix_coordinates,
+    "count_reads": count_reads, "matrix_report": matrix_report, "compare_matrices": compare_matrices, "merge_fastq": merge_fastq,
+    "filter_gene_type_matrix": filter_gene_type_matrix, "convert_ensembl_to_names": convert_ensembl_to_names, "adjust_matrix_coordinates": adjust_matrix_coordinates,
 }
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spotweave.functions.seq import col
 
+# The format's columns, and below its separators.
 FIXED = ("seqname", "source", "feature", "start", "end", "score", "strand", "frame")
 
 
@@ -39,3 +40,8 @@ def attribute_map(attributes: str | Column) -> Column:
 def list_value(value: str | Column) -> Column:
     """A value as a list, parted by commas."""
     return F.split(col(value), r"\s*,\s*")
+
+
+def attribute_lists(attributes: str | Column) -> Column:
+    """Map of a line's attributes with each value as a list; a value without commas is a list of one."""
+    return F.transform_values(attribute_map(attributes), lambda _, value: list_value(value))

@@ -97,21 +97,20 @@ def quality_trim_index(bases: str | Column, qualities: str | Column, cutoff: int
     """
     b, q = col(bases), col(qualities)
     n = F.length(q)
+    # each string is split once; a base beyond the bases' end is none
+    lost = F.zip_with(F.slice(F.split(b, ""), F.lit(1), F.greatest(n, F.lit(1))), F.split(q, ""), lambda x, y: F.when(x == "G", F.lit(1)).otherwise(F.lit(cutoff + base) - F.ascii(y)))
 
-    def step(state: Column, i: Column) -> Column:
-        quality = F.when(F.substring(b, i, F.lit(1)) == "G", F.lit(cutoff - 1)).otherwise(F.ascii(F.substring(q, i, F.lit(1))) - base)
-        total = state["sum"] + F.lit(cutoff) - quality
+    def step(state: Column, x: Column) -> Column:
+        total = state["sum"] + x
         stop = state["stop"] | (total < 0)
         better = ~stop & (total > state["most"])
         return F.struct(
-            F.when(state["stop"], state["sum"]).otherwise(total).alias("sum"),
-            F.when(better, total).otherwise(state["most"]).alias("most"),
-            F.when(better, i - 1).otherwise(state["cut"]).alias("cut"),
-            stop.alias("stop"),
-        )
-
-    begin = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("most"), n.alias("cut"), F.lit(False).alias("stop"))
-    return F.when(n == 0, F.lit(0)).otherwise(F.aggregate(F.sequence(F.greatest(n, F.lit(1)), F.lit(1), F.lit(-1)), begin, step)["cut"])
+            F.when(state["stop"], state["sum"]).otherwise(total).alias("sum"), F.when(better, total).otherwise(state["most"]).alias("most"),
+            F.when(better, state["at"] - 1).otherwise(state["cut"]).alias("cut"), (state["at"] - 1).alias("at"), stop.alias("stop"),
+        )
+
+    begin = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("most"), n.alias("cut"), n.alias("at"), F.lit(False).alias("stop"))
+    return F.when(n == 0, F.lit(0)).otherwise(F.aggregate(F.reverse(lost), begin, step)["cut"])
 
 
 def quality_trim_length(sequence: str | Column, qualities: str | Column, cutoff: int = 20, min_length: int = 30, base: int = 33) -> Column:

@@ -136,3 +136,16 @@ def gene_ends(gff: DataFrame, id_attribute: str = "gene_id") -> DataFrame:
     gene = F.try_element_at("attrs", F.lit(id_attribute))
     rows = gff.select(gene.alias("gene"), "seqname", "end", "line_no").where("gene IS NOT NULL")
     return rows.groupBy("gene").agg(F.max_by("seqname", F.struct("end", -F.col("line_no"))).alias("chrom"), F.max("end").alias("end"))
+
+
+def label_ends(labels: DataFrame, ends: DataFrame) -> DataFrame:
+    """(gene, chrom, end) of the distinct labels in ``gene``; an ambiguous one ends with the last of its members, the earlier on ties.
+
+    Labels without a known gene are left out.
+    """
+    distinct = labels.select("gene").distinct()
+    inside = F.regexp_extract("gene", r"(?s)^__ambiguous\[(.*)\]$", 1)
+    members = F.when(inside != "", F.split(inside, r"\+")).otherwise(F.array("gene"))
+    each = distinct.select(F.col("gene").alias("label"), F.posexplode(members).alias("place", "gene")).join(ends, "gene")
+    last = each.groupBy("label").agg(F.max_by(F.struct("chrom", "end"), F.struct("end", -F.col("place"))).alias("e"))
+    return last.select(F.col("label").alias("gene"), "e.chrom", "e.end")

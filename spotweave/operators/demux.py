@@ -8,11 +8,13 @@ k places away for edits.  So the search is an equi-join on pieces, and every can
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spotweave.functions.seq import hamming, join_slices
+from spotweave.storage import small_side
 
 METRICS = ("Hamming", "Levenshtein", "Subglobal")
 #: Barcode tables of at most so many rows are broadcast.
@@ -21,14 +23,26 @@ BROADCAST_BARCODES = 2_000_000
 PIECE = 256
 
 
-def free_end_distance(text: str, pattern: str) -> int:
-    """Edit distance of the pattern to the nearest part of the text."""
-    row = [0] * (len(text) + 1)
-    for i, c in enumerate(pattern, 1):
-        above, row = row, [i] + [0] * len(text)
-        for j, d in enumerate(text, 1):
-            row[j] = min(above[j - 1] + (c != d), above[j] + 1, row[j - 1] + 1)
-    return min(row)
+def free_end_distances(texts: list[str], patterns: list[str]) -> np.ndarray:
+    """Edit distance of each pattern to the nearest part of its text, all pairs of a batch at once.
+
+    A table's row is kept for all pairs; the step along a row is a running minimum.
+    """
+    width, height = max(map(len, texts), default=0), max(map(len, patterns), default=0)
+    # paddings are unlike each other and all characters
+    text = np.array([[*map(ord, t)] + [-1] * (width - len(t)) for t in texts], np.int32).reshape(len(texts), width)
+    pattern = np.array([[*map(ord, p)] + [-2] * (height - len(p)) for p in patterns], np.int32).reshape(len(texts), height)
+    length, inside = np.array([len(p) for p in patterns]), np.arange(width + 1) <= np.array([len(t) for t in texts])[:, None]
+    at = np.arange(width + 1, dtype=np.int32)
+    row = np.zeros((len(texts), width + 1), np.int32)
+    out = np.zeros(len(texts), np.int32)
+    for i in range(height):
+        new = row + 1
+        new[:, 1:] = np.minimum(new[:, 1:], row[:, :-1] + (text != pattern[:, i : i + 1]))
+        row = np.minimum.accumulate(new - at, axis=1) + at
+        ended = length == i + 1
+        out[ended] = np.where(inside, row, np.iinfo(np.int32).max)[ended].min(1)
+    return out
 
 
 def subglobal(observed: str, barcode: str) -> Column:
@@ -36,7 +50,10 @@ def subglobal(observed: str, barcode: str) -> Column:
 
     @F.pandas_udf("int")
     def distances(texts: pd.Series, patterns: pd.Series) -> pd.Series:
-        return pd.Series([None if a is None or b is None else free_end_distance(a, b) for a, b in zip(texts, patterns)], dtype="Int32")
+        known = (texts.notna() & patterns.notna()).to_numpy()
+        out = pd.Series([None] * len(texts), dtype="Int32")
+        out[known] = free_end_distances(list(texts[known]), list(patterns[known]))
+        return out
 
     return distances(observed, barcode)
 
@@ -70,8 +87,7 @@ def match_barcodes(observed: DataFrame, barcodes: DataFrame, max_distance: int =
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric}; there are {METRICS}")
     table = barcodes.groupBy("barcode").agg(F.min(F.struct("x", "y")).alias("at")).select(F.col("barcode").alias("known"), "at.x", "at.y")
-    if len(table.take(BROADCAST_BARCODES + 1)) <= BROADCAST_BARCODES:
-        table = F.broadcast(table)
+    table = small_side(table, BROADCAST_BARCODES)
     distinct = observed.select("observed").distinct()
     exact = distinct.join(table, F.col("observed") == F.col("known"), "left")
     perfect = exact.where("known IS NOT NULL").select("observed", F.lit("Perfect").alias("category"), F.lit(0).alias("distance"), F.col("known").alias("barcode"), "x", "y")
@@ -139,8 +155,6 @@ def shared_words(reads: DataFrame, reference: DataFrame, k: int, key: str = "id"
         places = F.explode(F.sequence(F.lit(1), F.length("piece") - (k - 1))).alias("place")
         return pieces.select(*keep, "piece", places).select(*keep, F.substring("piece", F.col("place"), F.lit(k)).alias("word"))
 
-    known = words(reference).distinct()
-    if known.limit(BROADCAST_BARCODES + 1).count() <= BROADCAST_BARCODES:
-        known = F.broadcast(known)
+    known = small_side(words(reference).distinct(), BROADCAST_BARCODES)
     hit = words(reads, key).join(known, "word", "left_semi").select(key).distinct()
     return reads.join(hit, key, "left_anti")

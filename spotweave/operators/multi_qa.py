@@ -10,6 +10,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spotweave.storage import small_side
+
 
 def gene_totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy("dataset", "gene").agg(F.sum("count").alias("total"))
@@ -50,7 +52,7 @@ def gene_similarity(counts: DataFrame) -> DataFrame:
     """(dataset1, dataset2, similarity): share of the first's genes that the second has; pairs without any have none."""
     shared = gene_pairs(counts).groupBy("dataset1", "dataset2").agg(F.count("*").alias("n"))
     own = gene_totals(counts).groupBy("dataset").agg(F.count("*").alias("genes"))
-    return shared.join(F.broadcast(own), F.col("dataset1") == F.col("dataset")).select("dataset1", "dataset2", (F.col("n") / F.col("genes")).alias("similarity"))
+    return shared.join(small_side(own), F.col("dataset1") == F.col("dataset")).select("dataset1", "dataset2", (F.col("n") / F.col("genes")).alias("similarity"))
 
 
 def shared_with_all(counts: DataFrame) -> DataFrame:

@@ -62,6 +62,7 @@ def spot_scatter(counts: DataFrame) -> DataFrame:
 
 def report_lines(stats: dict) -> list[str]:
     """The text report of one row of qa_stats."""
+    # The labels of the report, which scripts read.
     named = (
         ("Number of spots", "barcodes_found"), ("Number of reads present", "reads_after_duplicates_removal"), ("Number of unique genes present", "genes_found"),
         ("Max number of genes over all spots", "max_genes_feature"), ("Min number of genes over all spots", "min_genes_feature"), ("Max number of reads over all spots", "max_reads_feature"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spotweave.functions import cigar, seq, umi
-from spotweave.functions.gff import list_value
+from spotweave.functions.gff import attribute_lists, list_value
 from spotweave.operators import annotate, counts, dedup, demux, matrix, multi_qa, qa, read_filter, records, saturation
 from spotweave.plans import relations as R
 from spotweave.sources.tables import parse_gff
@@ -73,7 +73,13 @@ def umi_count_hierarchical(spark, d):
     return dedup.unique_counts(R.reads(spark, d), OFFSET, 1, "hierarchical")
 
 
-@query()
+# of a component, in order of the identifiers: the largest of the first ranks that cover each member
+ADJACENT = f"""{COMPONENTS}, placed AS (SELECT *, row_number() OVER (PARTITION BY gene, x, y, session, label ORDER BY umi) AS place FROM labels),
+covered AS (SELECT v.gene, v.x, v.y, v.session, v.label, v.umi, min(u.place) AS first FROM placed v JOIN placed u ON u.gene = v.gene AND u.x = v.x AND u.y = v.y AND u.session = v.session AND u.label = v.label AND hamming(u.umi, v.umi) <= 1 GROUP BY ALL),
+kept AS (SELECT gene, x, y, session, label, max(first) AS n FROM covered GROUP BY ALL)"""
+
+
+@query(f"WITH RECURSIVE {ADJACENT} SELECT gene, x, y, reads, sum(n)::BIGINT AS count FROM kept JOIN {READ_TOTALS} USING (gene, x, y) GROUP BY ALL")
 def umi_count_adjacent(spark, d):
     return dedup.unique_counts(R.reads(spark, d), OFFSET, 1, "Adjacent")
 
@@ -148,9 +154,9 @@ def gc_content(spark, d):
     return R.reads(spark, d).select("id", rounded(seq.content_percent("seq", "GC")).alias("percent"))
 
 
-@query("SELECT doc_id, round(100.0 * length(regexp_replace(text, '[^ae]', '', 'g')) / length(text), 6) AS percent FROM documents WHERE length(text) > 0")
+@query("SELECT doc_id, round(100.0 * length(regexp_replace(text, '[^ae]', '', 'g')) / nullif(length(text), 0), 6) AS percent FROM documents")
 def text_content(spark, d):
-    return R.table(spark, d, "documents").where(F.length("text") > 0).select("doc_id", rounded(seq.content_percent("text", "ae")).alias("percent"))
+    return R.table(spark, d, "documents").withColumn("text", F.nullif("text", F.lit(""))).select("doc_id", rounded(seq.content_percent("text", "ae")).alias("percent"))
 
 
 @query(f"WITH {R.PAIRS} SELECT read_idx, CASE WHEN strpos(r2_seq, 'AAAAAAAAAA') > 0 THEN strpos(r2_seq, 'AAAAAAAAAA') - 1 END::INT AS place, CASE WHEN strpos(r2_seq, 'AAAAAAAAAA') > 0 THEN substr(r2_seq, 1, strpos(r2_seq, 'AAAAAAAAAA') - 1) ELSE r2_seq END AS trimmed FROM pairs")
@@ -261,7 +267,12 @@ def demux_categories(spark, d):
     return demux.category_counts(demux.demultiplex(reads, R.barcodes(spark, d), 1, "Hamming"))
 
 
-@query()
+# a part of the observed string within one edit is as long as the barcode, or one shorter or longer
+_PARTS = "least(" + ", ".join(f"levenshtein(substr(observed, {i}, {n}), b.barcode)" for n in (7, 8, 9) for i in range(1, 14 - n)) + ")"
+SUBGLOBAL = demux_sql(_PARTS, 1, False).replace("SELECT DISTINCT observed FROM items", "SELECT DISTINCT 'GT' || observed || 'AC' AS observed FROM items")
+
+
+@query(SUBGLOBAL)
 def demux_subglobal(spark, d):
     padded = R.observed(spark, d).select(F.concat(F.lit("GT"), "observed", F.lit("AC")).alias("observed"))
     return demux.match_barcodes(padded, R.barcodes(spark, d), 1, "Subglobal")
@@ -298,9 +309,13 @@ FOLDS = {
 
 
 def annotate_sql(mode: str, stranded: str) -> str:
+    """Blocks and steps meet in bins; a pair counts in the bin of its overlap's first base.  Endless steps end where the blocks do."""
     strand = {"yes": "CASE WHEN flag = 16 THEN '-' ELSE '+' END", "reverse": "CASE WHEN flag = 16 THEN '+' ELSE '-' END", "no": "'.'"}[stranded]
     return f"""{R.ALIGNMENTS}, {steps_sql(stranded != "no", mode == "intersection-strict")},
-met AS (SELECT b.id, list(s.genes ORDER BY b.block, s.low) AS gs FROM blocks b JOIN steps s ON b.chrom = s.chrom AND s.strand = {strand} AND b.low < s.high AND b.high > s.low GROUP BY b.id),
+near_steps AS (SELECT chrom, strand, genes, greatest(low, (SELECT min(low) FROM blocks)) AS low, least(high, (SELECT max(high) FROM blocks)) AS high FROM steps),
+binned_steps AS (SELECT *, unnest(range(low // 1024, (high - 1) // 1024 + 1)) AS bin FROM near_steps WHERE low < high),
+binned_blocks AS (SELECT id, chrom, {strand} AS strand, block, low, high, unnest(range(low // 1024, (high - 1) // 1024 + 1)) AS bin FROM blocks),
+met AS (SELECT b.id, list(s.genes ORDER BY b.block, s.low) AS gs FROM binned_blocks b JOIN binned_steps s ON b.chrom = s.chrom AND b.strand = s.strand AND b.bin = s.bin WHERE b.low < s.high AND b.high > s.low AND b.bin = greatest(b.low, s.low) // 1024 GROUP BY b.id),
 sets AS (SELECT a.id, a.flag, list_sort(coalesce({FOLDS[mode]}, [])) AS genes FROM alignments a LEFT JOIN met USING (id)),
 labels AS (SELECT id, CASE WHEN flag = 4 THEN '__not_aligned' WHEN len(genes) = 0 THEN '__no_feature' WHEN len(genes) = 1 THEN genes[1] ELSE '__ambiguous[' || array_to_string(genes, '+') || ']' END AS gene FROM sets)"""
 
@@ -352,11 +367,17 @@ def softclip_positions(spark, d):
     return dedup.transcripts(rows).select(F.col("clear_name").alias("id"), "start", "end")
 
 
-@query(f"WITH {R.ALIGNMENTS} SELECT CASE WHEN flag = 4 THEN 'unmapped' ELSE 'mapped' END AS kind, count(*) AS alignments FROM alignments GROUP BY ALL")
+@query(f"WITH {R.ALIGNMENTS} SELECT id, CASE WHEN flag = 4 THEN 'unmapped' ELSE 'mapped' END AS kind FROM alignments")
 def unmapped_split(spark, d):
     mapped, unmapped = records.split_mapped(R.alignments(spark, d))
-    both = mapped.withColumn("kind", F.lit("mapped")).unionByName(unmapped.withColumn("kind", F.lit("unmapped")))
-    return both.groupBy("kind").agg(F.count("*").alias("alignments"))
+    return mapped.withColumn("kind", F.lit("mapped")).unionByName(unmapped.withColumn("kind", F.lit("unmapped"))).select("id", "kind")
+
+
+@query(f"""WITH {R.ALIGNMENTS}, scored AS (SELECT *, (pos % 40)::INT AS score, (pos % 23)::INT AS loci, repeat('A', 30) AS seq FROM alignments), matched AS (SELECT id, sum(high - low) AS n FROM blocks GROUP BY id)
+SELECT id FROM scored JOIN matched USING (id) WHERE n >= 26 AND n >= 0.5 * length(seq) AND score >= 10 AND score >= 0.4 * length(seq) AND loci <= 20""")
+def accepted_alignments(spark, d):
+    rows = R.alignments(spark, d).withColumns({"score": (F.col("pos") % 40).cast("int"), "loci": (F.col("pos") % 23).cast("int"), "seq": F.repeat(F.lit("A"), F.lit(30))})
+    return records.accepted(rows, min_length=26, min_score=10, min_score_ratio=0.4, min_matched_ratio=0.5, max_loci=20).select("id")
 
 
 @query(f"WITH {R.ALIGNMENTS} SELECT id, split_part(chrom, '#', 1) AS gene FROM alignments")
@@ -384,6 +405,22 @@ def gff_list_values(spark, d):
     return R.table(spark, d, "part").select(F.col("p_partkey").alias("line_no"), F.size(values).alias("n"), values[1].alias("second"))
 
 
+@query("SELECT p_partkey AS line_no, 2 AS n, replace(p_name, ' ', '-') AS first, p_type AS second, '2' AS level FROM part")
+def gff_attribute_lists(spark, d):
+    attributes = F.concat(F.lit('alias "'), F.replace("p_name", F.lit(" "), F.lit("-")), F.lit(" , "), "p_type", F.lit('"; level=2; tag .'))
+    rows = R.table(spark, d, "part").select(F.col("p_partkey").alias("line_no"), attribute_lists(attributes).alias("lists"))
+    return rows.select("line_no", F.size(F.col("lists")["alias"]).alias("n"), F.col("lists")["alias"][0].alias("first"), F.col("lists")["alias"][1].alias("second"), F.col("lists")["level"][0].alias("level"))
+
+
+@query("""WITH ends AS (SELECT 'g' || (p_partkey % 97) AS gene, arg_max(p_brand, (10 * p_partkey + 5 * p_size) * 1000000 - p_partkey) AS chrom, max(10 * p_partkey + 5 * p_size) AS "end" FROM part GROUP BY ALL),
+pairs AS (SELECT DISTINCT s_suppkey % 97 AS a, (s_suppkey * 7 + 1) % 97 AS b FROM supplier)
+SELECT '__ambiguous[g' || a || '+g' || b || ']' AS gene, CASE WHEN y."end" > x."end" THEN y.chrom ELSE x.chrom END AS chrom, greatest(x."end", y."end") AS "end" FROM pairs JOIN ends x ON x.gene = 'g' || a JOIN ends y ON y.gene = 'g' || b""")
+def ambiguous_gene_ends(spark, d):
+    key = F.col("s_suppkey")
+    label = F.concat(F.lit("__ambiguous[g"), (key % 97).cast("string"), F.lit("+g"), ((key * 7 + 1) % 97).cast("string"), F.lit("]"))
+    return annotate.label_ends(R.table(spark, d, "supplier").select(label.alias("gene")), annotate.gene_ends(parse_gff(R.gff_lines(spark, d))))
+
+
 # ---- counts ---------------------------------------------------------------------------------------
 
 
@@ -392,7 +429,7 @@ def counts_long(spark, d):
     return counts.counts_long(R.counts(spark, d))
 
 
-PIVOT_GENES = [f"g{i}" for i in range(12)]
+PIVOT_GENES = [f"g{i}" for i in range(97)]  # all of them
 
 
 @query(f"WITH {R.COUNTS} SELECT spot, " + ", ".join(f"coalesce(sum(count) FILTER (WHERE gene = '{g}'), 0)::BIGINT AS {g}" for g in PIVOT_GENES) + " FROM counts GROUP BY spot")
@@ -436,9 +473,10 @@ def hist_reads_spot(spark, d):
     return qa.histogram(counts.per_spot(R.counts(spark, d)), "reads", 20).select("bin", "n")
 
 
-@query()
+@query(f"""WITH {R.COUNTS}, spots AS (SELECT sum(count)::DOUBLE AS v FROM counts GROUP BY spot), shape AS (SELECT count(*) AS n, min(v) AS mn, max(v) AS mx, stddev_samp(v) * count(*) ** -0.2 AS w FROM spots),
+grid AS (SELECT mn - 3 * w + i * (mx - mn + 6 * w) / 99 AS place, n, w FROM shape, range(100) t(i)) SELECT round(place, 6) AS "at", round(sum(exp(-0.5 * ((place - v) / w) ** 2)) / (n * w * sqrt(2 * pi())), 9) AS density FROM grid, spots GROUP BY place, n, w""")
 def density_reads_spot(spark, d):
-    return qa.density(counts.per_spot(R.counts(spark, d)), "reads")
+    return qa.density(counts.per_spot(R.counts(spark, d)), "reads").select(rounded("at").alias("at"), rounded("density", 9).alias("density"))
 
 
 @query(f"WITH {R.COUNTS} SELECT x::DOUBLE AS x, y::DOUBLE AS y, sum(count)::BIGINT AS reads, count(*) AS genes FROM counts GROUP BY x, y")
@@ -449,9 +487,9 @@ def spot_scatter(spark, d):
 # ---- saturation -----------------------------------------------------------------------------------
 
 
-@query("SELECT floor(1000 + 1000 * exp(x))::BIGINT AS point FROM range(15) t(x) WHERE floor(1000 + 1000 * exp(x)) < 6001215")
+@query("SELECT floor(1000 + 1000 * exp(x))::BIGINT AS point FROM range(15) t(x) WHERE floor(1000 + 1000 * exp(x)) < (SELECT count(*) FROM lineitem)")
 def saturation_points(spark, d):
-    return spark.createDataFrame([(p,) for p in saturation.saturation_points(6_001_215)], "point long")
+    return spark.createDataFrame([(p,) for p in saturation.saturation_points(R.table(spark, d, "lineitem").count())], "point long")
 
 
 SAMPLED = f"""{R.READS}, points AS (SELECT p::BIGINT AS point FROM unnest({list(R.POINTS)}) t(p) WHERE p < (SELECT count(*) FROM reads)),
@@ -483,11 +521,11 @@ def split_chunks(spark, d):
     return records.split_chunks(records.numbered(orders, ["o_orderkey"]), 4).select("o_orderkey", F.col("idx").cast("long").alias("idx"), "chunk")
 
 
-@query("SELECT 0 AS part, count(*) AS n, sum(s_suppkey)::BIGINT AS keys FROM supplier UNION ALL SELECT 1, count(*), sum(c_custkey)::BIGINT FROM customer")
+@query("SELECT 0 AS part, s_suppkey AS k FROM supplier UNION ALL SELECT 1, c_custkey FROM customer")
 def merge_union(spark, d):
     a = R.table(spark, d, "supplier").select(F.col("s_suppkey").alias("k"))
     b = R.table(spark, d, "customer").select(F.col("c_custkey").alias("k"))
-    return records.merge([a, b]).groupBy("part").agg(F.count("*").alias("n"), F.sum("k").alias("keys"))
+    return records.merge([a, b]).select("part", "k")
 
 
 def coordinates(spark, d) -> DataFrame:
@@ -569,6 +607,19 @@ def multi_gene_totals_filled(spark, d):
     return multi_qa.filled_totals(datasets(spark, d))
 
 
-@query()
+# three centred points: the Gram matrix has one eigenvalue of 0, the others solve a quadratic equation, and an
+# eigenvector is the cross product of two rows of the matrix less the eigenvalue
+PCA = f"""WITH {DATASETS}, logs AS (SELECT d.dataset, g.gene, ln(1 + coalesce(total, 0)) AS v FROM (SELECT DISTINCT dataset FROM totals) d CROSS JOIN (SELECT DISTINCT gene FROM totals) g LEFT JOIN totals t ON t.dataset = d.dataset AND t.gene = g.gene),
+centred AS (SELECT dataset, gene, v - avg(v) OVER (PARTITION BY gene) AS v FROM logs), wide AS (SELECT sum(v) FILTER (WHERE dataset = 'A') AS a, sum(v) FILTER (WHERE dataset = 'N') AS n, sum(v) FILTER (WHERE dataset = 'R') AS r FROM centred GROUP BY gene),
+gram AS (SELECT sum(a * a) AS aa, sum(a * n) AS an, sum(a * r) AS ar, sum(n * n) AS nn, sum(n * r) AS nr, sum(r * r) AS rr FROM wide),
+half AS (SELECT *, (aa + nn + rr) / 2 AS h, sqrt(((aa + nn + rr) / 2) ** 2 - (aa * nn - an * an + aa * rr - ar * ar + nn * rr - nr * nr)) AS s FROM gram),
+roots AS (SELECT *, 'pc1' AS pc, h + s AS l FROM half UNION ALL SELECT *, 'pc2', h - s FROM half),
+vectors AS (SELECT pc, an * nr - ar * (nn - l) AS x, ar * an - (aa - l) * nr AS y, (aa - l) * (nn - l) - an * an AS z FROM roots),
+signed AS (SELECT pc, x, y, z, sqrt(2) / sqrt(x * x + y * y + z * z) * CASE WHEN abs(x) >= greatest(abs(y), abs(z)) THEN sign(x) WHEN abs(y) >= abs(z) THEN sign(y) ELSE sign(z) END AS f FROM vectors),
+long AS (SELECT pc, 'A' AS dataset, x * f AS v FROM signed UNION ALL SELECT pc, 'N', y * f FROM signed UNION ALL SELECT pc, 'R', z * f FROM signed)
+SELECT dataset, round(sum(v) FILTER (WHERE pc = 'pc1'), 6) AS pc1, round(sum(v) FILTER (WHERE pc = 'pc2'), 6) AS pc2 FROM long GROUP BY dataset"""
+
+
+@query(PCA)
 def multi_pca(spark, d):
-    return multi_qa.pca(datasets(spark, d))
+    return multi_qa.pca(datasets(spark, d)).select("dataset", rounded("pc1").alias("pc1"), rounded("pc2").alias("pc2"))

@@ -45,7 +45,7 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path).where(~F.col("value").startswith("@") & (F.col("value") != "")).select(t.alias("t"))
 
     def tag(name: str):
-        hit = F.filter(F.slice("t", 12, 10_000), lambda x: x.startswith(f"{name}:"))
+        hit = F.filter(F.slice("t", F.lit(12), F.size("t")), lambda x: x.startswith(f"{name}:"))
         return F.substring(F.try_element_at(hit, F.lit(1)), 6, 1 << 30)
 
     def known(i: int):

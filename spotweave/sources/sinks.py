@@ -39,8 +39,14 @@ def merge_fastq(spark, run_path: str, samples: list[str], out_path: str) -> None
             write_fastq(own, f"{out_path}/{sample}_{mate}.fastq.gz", compression="gzip")
 
 
-def write_sam(alignments: DataFrame, path: str, single: bool = False) -> None:
-    """ALIGNMENT rows as SAM lines with their tags; positions are written from 1."""
+def write_sam(alignments: DataFrame, path: str, single: bool = False, by_coordinate: bool = False) -> None:
+    """ALIGNMENT rows as SAM lines with their tags; positions are written from 1.
+
+    ``by_coordinate`` sorts them by reference, position and name, unaligned ones last; part files are in this order.
+    """
+    if by_coordinate:
+        alignments = alignments.orderBy(F.col("chrom").asc_nulls_last(), "pos", "name", "flag")
+
     def star(c: str) -> Column:
         return F.coalesce(F.col(c).cast("string"), F.lit("*"))
 

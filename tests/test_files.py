@@ -153,16 +153,16 @@ def test_whole_pipeline_and_tools(spark, tmp_path):
     run = lambda tool, *a: cli.TOOLS[tool](spark, list(a))
     run("adjust_matrix_coordinates", "--counts-matrix", matrix, "--coordinates-file", str(tmp_path / "coords.txt"), "--update-coordinates", "--outfile", str(tmp_path / "adj.tsv"))
     assert text_of(tmp_path / "adj.tsv").splitlines()[1].split("\t") == ["10.0x20.0", "2", "2"]
-    run("convertEnsemblToNames", "--counts", matrix, "--annotation", str(tmp_path / "a.gtf"), "--output", str(tmp_path / "names.tsv"))
+    run("convert_ensembl_to_names", "--counts", matrix, "--annotation", str(tmp_path / "a.gtf"), "--output", str(tmp_path / "names.tsv"))
     assert text_of(tmp_path / "names.tsv").splitlines()[0].split("\t")[1:] == ["ng1", "ng2"]
     run("filter_gene_type_matrix", "--counts-matrix", matrix, "--gene-types-keep", "coding", "--annotation", str(tmp_path / "a.gtf"), "--ensembl-ids", "--outfile", str(tmp_path / "typed.tsv"))
     assert text_of(tmp_path / "typed.tsv").splitlines()[0].split("\t")[1:] == ["g1"]
-    run("st_qa", "--input-data", matrix, "--output", str(tmp_path))
+    run("matrix_report", "--input-data", matrix, "--output", str(tmp_path))
     assert "Number of spots: 2" in text_of(tmp_path / "e_stdata_qa_stats.txt")
-    run("multi_qa", "--counts-table-files", matrix, str(tmp_path / "names.tsv"), "--outdir", str(tmp_path))
+    run("compare_matrices", "--counts-table-files", matrix, str(tmp_path / "names.tsv"), "--outdir", str(tmp_path))
     assert "names" in text_of(tmp_path / "gene_similarities.tsv")
     with pytest.raises(ValueError):
-        run("multi_qa", "--counts-table-files", matrix)
+        run("compare_matrices", "--counts-table-files", matrix)
     assert cli.main(["nothing"]) == 2
 
 
