@@ -21,11 +21,20 @@ from pyspark.sql import functions as F
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style head title noscript template iframe svg math form button select textarea object canvas audio video".split())
+CONTROLS = frozenset("input button select textarea label".split())
+HIDDEN = frozenset("script style head title noscript template iframe button select textarea label".split())
 RAW = frozenset("script style noscript template textarea title iframe".split())
 BLOCK = frozenset("html body div section article main aside nav header footer p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption address details summary fieldset legend hgroup center form".split())
 CLOSES_P = BLOCK - {"html", "body"}
-ITEM_SCOPE = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table", "thead", "tbody", "tfoot"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
+#: Elements that end an open one: the group of the open one, and what bounds the search for it.
+SCOPES = {
+    "p": ({"p"}, {"td", "th", "table", "li", "div", "section", "article", "main", "aside", "blockquote", "figure", "button"}),
+    "li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table", "thead", "tbody", "tfoot"}), "td": ({"td", "th"}, {"tr", "table"}),
+}
+SCOPE_OF = {"li": "li", "dt": "dt", "dd": "dt", "tr": "tr", "td": "td", "th": "td"}
+SCOPE_NAMES = tuple(SCOPES)
+# For each element the scopes in which a search stops at it.
+STOPS = {name: tuple(i for i, scope in enumerate(SCOPE_NAMES) if name in SCOPES[scope][0] | SCOPES[scope][1]) for name in BLOCK | HIDDEN}
 # Attribute tokens by what they speak for.
 TOKENS = {
     "ad": "ad ads advert advertisement advertising sponsor sponsored promo promotion adsense banner-ad",
@@ -46,16 +55,21 @@ WORDS = re.compile(r"[a-z]+")
 
 
 class Page:
-    """Nodes in page order (tag, parent, tokens, depth) and text blocks (node, pieces)."""
+    """Nodes in page order (tag, parent, tokens, form controls) and text blocks (node, pieces).
+
+    Any end tag and any implied end takes a constant time, so that a page takes a time in proportion to its length.
+    """
 
     def __init__(self, source: str) -> None:
         self.tags, self.parents, self.groups, self.hidden = ["#page"], [-1], [0], [False]
-        self.linked = [0]
+        self.linked, self.controls = [0], [0]
         self.blocks: list[tuple[int, list[str]]] = []
         self.stack = [("#page", 0)]
+        self.places: dict[str, list[int]] = {}  # of each open name, its places in the stack
+        self.nearest = [(0,) * len(SCOPE_NAMES)]  # of each open element and scope, where a search stops
         self.anchor = 0
         self.current: list[str] | None = None
-        at, raw = 0, None
+        at = 0
         for m in MARKUP.finditer(source):
             if m.start() < at:
                 continue
@@ -93,15 +107,17 @@ class Page:
             if self.current is not None:
                 self.current.append(" ")
             return
+        if name in CONTROLS:
+            self.controls[self.stack[-1][1]] += 1
         if name in VOID:
             return
         if name not in BLOCK and name not in HIDDEN:
             self.anchor += name == "a"
             return
         if name in CLOSES_P:
-            self.close({"p"}, {"td", "th", "table", "li", "div", "section", "article", "main", "aside", "blockquote", "figure", "button"})
-        if name in ITEM_SCOPE:
-            self.close(*ITEM_SCOPE[name])
+            self.close("p")
+        if name in SCOPE_OF:
+            self.close(SCOPE_OF[name])
         parent = self.stack[-1][1]
         group = 0
         if "=" in attributes:
@@ -117,29 +133,37 @@ class Page:
         self.groups.append(group)
         self.hidden.append(self.hidden[parent] or name in HIDDEN)
         self.linked.append(0)
+        self.controls.append(0)
+        place = len(self.stack)
+        near = list(self.nearest[-1])
+        for scope in STOPS[name]:
+            near[scope] = place
+        self.nearest.append(tuple(near))
+        self.places.setdefault(name, []).append(place)
         self.stack.append((name, len(self.tags) - 1))
-        self.current, self.anchor = None, 0
-
-    def close(self, names: set[str], bounds: set[str]) -> None:
-        """Ends the innermost open element of these names, unless a bound is nearer."""
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i][0] in names:
-                del self.stack[i:]
-                self.current = None
-                return
-            if self.stack[i][0] in bounds:
-                return
+        if not self.hidden[-1]:  # what isn't seen parts no block
+            self.current, self.anchor = None, 0
+
+    def drop(self, place: int) -> None:
+        """Ends the open elements from a place in the stack on."""
+        if not self.hidden[self.stack[place][1]]:
+            self.current, self.anchor = None, 0
+        for name, _ in self.stack[place:]:
+            self.places[name].pop()
+        del self.stack[place:], self.nearest[place:]
+
+    def close(self, scope: str) -> None:
+        """Ends the innermost open element of a scope, unless a bound is nearer."""
+        place = self.nearest[-1][SCOPE_NAMES.index(scope)]
+        if place and self.stack[place][0] in SCOPES[scope][0]:
+            self.drop(place)
 
     def end(self, name: str) -> None:
         if name not in BLOCK and name not in HIDDEN:
             if name == "a" and self.anchor:
                 self.anchor -= 1
-            return
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i][0] == name:
-                del self.stack[i:]
-                self.current, self.anchor = None, 0
-                return
+        elif places := self.places.get(name):
+            self.drop(places[-1])
 
     def texts(self) -> list[tuple[int, str]]:
         """Blocks that have text: references decoded, white space made single blanks, trimmed."""
@@ -153,13 +177,13 @@ class Page:
         return out
 
 
-N_FEATURES = 14 + 2 * len(TOKENS)
+N_FEATURES = 16 + 2 * len(TOKENS)
 
 
 def features(page: Page, texts: list[tuple[int, str]]) -> np.ndarray:
     """A row of numbers for each node."""
     n = len(page.tags)
-    own, stops, linked, paragraphs, count = [0] * n, [0] * n, list(page.linked), [0] * n, [1] * n
+    own, stops, linked, paragraphs, count, controls = [0] * n, [0] * n, list(page.linked), [0] * n, [1] * n, list(page.controls)
     for node, text in texts:
         own[node] += len(text)
         stops[node] += text.count(". ") + text.count(", ") + text.endswith(".")
@@ -181,6 +205,7 @@ def features(page: Page, texts: list[tuple[int, str]]) -> np.ndarray:
         linked[p] += linked[i]
         paragraphs[p] += paragraphs[i]
         count[p] += count[i]
+        controls[p] += controls[i]
     whole = max(own[0], 1)
     out = np.zeros((n, N_FEATURES), np.float32)
     parents = np.maximum(page.parents, 0)
@@ -199,10 +224,12 @@ def features(page: Page, texts: list[tuple[int, str]]) -> np.ndarray:
     out[:, 11] = total / np.maximum(total[parents], 1)
     out[:, 12] = out[parents, 0]
     out[:, 13] = (np.array(above) >> len(TOKENS)) & 1
+    out[:, 14] = controls
+    out[:, 15] = np.array(controls) * 100 / np.maximum(total, 1)
     groups, seen = np.array(page.groups), np.array(above)
     for k in range(len(TOKENS)):
-        out[:, 14 + k] = (groups >> k) & 1
-        out[:, 14 + len(TOKENS) + k] = (seen >> k) & 1
+        out[:, 16 + k] = (groups >> k) & 1
+        out[:, 16 + len(TOKENS) + k] = (seen >> k) & 1
     return out
 
 
@@ -312,6 +339,8 @@ def labelled_pages(n: int = 260, seed: int = 5) -> list[tuple[str, str]]:
         def block(tag: str, text: str) -> str:
             main.append(html.unescape(" ".join(text.split())))
             text = html.escape(text, quote=False)
+            if rng.random() < 0.1:
+                text = choose("<svg><path d='M0'/></svg>", "<script>x()</script>", "<object></object>") + text
             return f"<{tag}>{text}</{tag}>" if tag != "p" or rng.random() < 0.8 else f"<p><b>{text}<br>"
 
         def boiler() -> str:
@@ -331,7 +360,9 @@ def labelled_pages(n: int = 260, seed: int = 5) -> list[tuple[str, str]]:
             if kind in (4, 5):
                 return f'<div class="{choose(*TOKENS["ad"].split())}">' + choose(prose(rng.integers(1, 6)), f"<p>{prose(rng.integers(1, 5))}</p>") + "</div>"
             if kind == 6:
-                return f'<form action="/s"><label>{word()}</label><input name="q"><button>{word()}</button></form>'
+                hint = choose("", f"<p>{prose(rng.integers(1, 3))}</p>", f"<h3>{word()}</h3>", f"<div>{sentence(2, 9)}</div>")
+                fields = "".join(choose(f"<label>{word()}</label><input name=q>", f"<p>{word()} <input></p>", f"<div><select><option>{word()}</option></select></div>", "<textarea></textarea>") for _ in range(rng.integers(1, 5)))
+                return f'<form action="/s">{hint}{fields}<button>{word()}</button></form>'
             if kind == 7:
                 return "<nav>" + links(rng.integers(3, 9)) + "</nav>"
             return f"<script>var t='</p>';track({rng.integers(99)});</script>"
@@ -367,7 +398,7 @@ def labelled_pages(n: int = 260, seed: int = 5) -> list[tuple[str, str]]:
         after = "".join(boiler() for _ in range(rng.integers(0, 4))) + (comments() if rng.random() < 0.2 else "")
         if rng.random() < 0.8:
             after += choose(f"<footer>&copy; {word()}.org &middot; {prose(rng.integers(1, 3))}</footer>", f'<div id="footer"><p>{prose(1)}</p>{links(3)}</div>')
-        wrap = choose("%s", "%s", '<div id="page">%s</div>', '<div class="wrapper"><div>%s</div></div>')
+        wrap = choose("%s", "%s", "%s", '<div id="page">%s</div>', '<div id="page">%s</div>', '<div class="wrapper"><div>%s</div></div>', '<form method="post" action="page"><input type="hidden" name="state">%s</form>')
         page = f"<!DOCTYPE html><html><head><title>{word()}</title><style>p{{margin:0}}</style></head><body>" + wrap % (before + a + "".join(body) + b + after) + "</body></html>"
         made.append((page, "\n".join(main)))
     return made
@@ -409,6 +440,8 @@ def extract(sources: list[str], model: Boosted) -> list[str]:
 def extract_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """One row per input row: page_id, url, text, n_chars.
 
+    Forms are ordinary nodes with their controls as features, so that a form around a whole page hides nothing;
+    controls and labels themselves are never text.  Formulas, drawings and other inline elements part no block.
     A null or empty page, or one without main text, gives an empty text.  Repeated rows give equal texts;
     other columns are not read.  A page is parsed as a whole, however long.
     """
