@@ -7,7 +7,12 @@ within the budget holds the single piece unchanged, or some piece unchanged besi
 most one error.  An Aho-Corasick automaton finds all exact piece hits in a document in one scan; a look at
 the partner drops the chance hits; each hit that is left places the item in the text, and Myers'
 bit-parallel algorithm gives the least edit distance of the item to any passage there.  Case and white
-space are folded before.
+space are folded before, and items of equal text are one.
+
+A piece of many items, as of a common question stem, would place them all in each text that has the stem.
+Such items are counted first: an edit changes GRAM grams of an item at most, so that a passage within the
+budget has all of its grams but GRAM for each error.  The grams that most of the piece's items have are counted
+at once for all, and only the others are looked up item by item; what falls short is dropped.
 
 Documents are only mapped, never shuffled.  The test items go out in blocks of at most BLOCK_ITEMS, so
 that what is broadcast is bounded however many there are; each block is a pass of its own over all
@@ -17,7 +22,7 @@ documents.
 from __future__ import annotations
 
 import unicodedata
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -27,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_ITEMS = 5_000
+BLOCK_ITEMS, BLOCK_BYTES = 5_000, 2 << 20
+HOT_ITEMS, GRAM = 32, 3
 #: Errors allowed in the query and in the pipeline, as a share of an item's bytes.
 BUDGET_PERCENT = 10
 
@@ -42,9 +48,9 @@ def folded(text: str | None) -> str:
 
 @dataclass(frozen=True)
 class Item:
-    """A test item: its folded text, error budget, and piece bounds."""
+    """Test items of one text: their ids, folded text, error budget, and piece bounds."""
 
-    item_id: int
+    item_ids: tuple[int, ...]
     text: str
     budget: int
 
@@ -56,8 +62,42 @@ class Item:
 
 def make_items(rows: list[tuple[int, str]], budget_percent: int) -> tuple[Item, ...]:
     """Items with text; a null or blank item matches nothing."""
-    made = (Item(i, folded(text), 0) for i, text in rows)
-    return tuple(Item(x.item_id, x.text, len(x.text) * budget_percent // 100) for x in made if x.text)
+    by_text: dict[str, set[int]] = defaultdict(set)
+    for i, text in rows:
+        if whole := folded(text):
+            by_text[whole].add(i)
+    return tuple(Item(tuple(sorted(ids)), text, len(text) * budget_percent // 100) for text, ids in by_text.items())
+
+
+def grams(text: str) -> set[str]:
+    return {text[i : i + GRAM] for i in range(len(text) - GRAM + 1)}
+
+
+class HotPiece:
+    """Items that share a piece at one place in them, with the same partner: their grams, the common ones apart.
+
+    Of its common grams an item counts as having as many as the passage has of all.
+    """
+
+    def __init__(self, numbers: list[int], low: int, items: tuple[Item, ...]) -> None:
+        self.numbers, self.low = numbers, low
+        own = {n: grams(items[n].text) for n in numbers}
+        counts = Counter(g for s in own.values() for g in s)
+        self.common = {g for g, c in counts.items() if 2 * c > len(numbers)}
+        self.rare: dict[str, list[int]] = defaultdict(list)
+        for n, s in own.items():
+            for g in s - self.common:
+                self.rare[g].append(n)
+        self.needed = {n: len(s) - GRAM * items[n].budget for n, s in own.items()}
+        self.has_common = {n: len(s & self.common) for n, s in own.items()}
+        self.reach = max(len(items[n].text) + items[n].budget for n in numbers)
+        self.slack = max(items[n].budget for n in numbers)
+
+    def candidates(self, whole: str, first: int) -> list[int]:
+        """Items that may be in the text with this piece at ``first``."""
+        seen = grams(whole[max(0, first - self.low - self.slack) : first - self.low + self.reach])
+        had, common = Counter(n for g in seen for n in self.rare.get(g, ())), len(self.common & seen)
+        return [n for n in self.numbers if had[n] + min(common, self.has_common[n]) >= self.needed[n]]
 
 
 def least_distance(pattern: str, passage: str, most: int) -> int:
@@ -103,63 +143,82 @@ def begins(text: str, piece: str) -> bool:
 
 @lru_cache(maxsize=2)
 def automaton(items: tuple[Item, ...]):
-    """Pieces of all items, each with the items and places that it belongs to, and its partners behind and, reversed, before it."""
-    places: dict[str, list[tuple[int, int, str, str]]] = defaultdict(list)
+    """Pieces of all items, each with its items by partner: one list for few, a HotPiece for many at the same place."""
+    places: dict[str, dict[tuple[str, str], dict[int, list[int]]]] = defaultdict(lambda: defaultdict(lambda: defaultdict(list)))
     for n, item in enumerate(items):
         pieces = item.pieces()
         for i, (low, piece) in enumerate(pieces):
             behind = pieces[i + 1][1] if i % 2 == 0 and i + 1 < len(pieces) else ""
-            places[piece].append((n, low, behind, pieces[i - 1][1][::-1] if i % 2 else ""))
+            places[piece][behind, pieces[i - 1][1][::-1] if i % 2 else ""][low].append(n)
     built = ahocorasick.Automaton()
-    for piece, of in places.items():
-        built.add_word(piece, (len(piece), of))
+    for piece, partners in places.items():
+        few = [(n, low, *partner) for partner, by_place in partners.items() for low, of in by_place.items() if len(of) <= HOT_ITEMS for n in of]
+        hot = [(*partner, HotPiece(of, low, items)) for partner, by_place in partners.items() for low, of in by_place.items() if len(of) > HOT_ITEMS]
+        built.add_word(piece, (len(piece), few, hot))
     built.make_automaton()
     return built
 
 
+def partner_is_there(whole: str, first: int, end: int, behind: str, before: str) -> bool:
+    """Whether the partner stands beside the piece from ``first`` to ``end``, with one error at most; an empty one always does."""
+    if behind:
+        return begins(whole[end + 1 : end + 2 + len(behind)], behind)
+    return begins(whole[max(0, first - len(before) - 1) : first][::-1], before)
+
+
 def leaks(text: str | None, items: tuple[Item, ...]) -> dict[int, int]:
     """Items found in a text within their budgets: item_id and least distance."""
     whole = folded(text)
     if not whole or not items:
         return {}
     starts: dict[int, set[int]] = defaultdict(set)
-    for end, (size, of) in automaton(items).iter(whole):
+    for end, (size, few, hot) in automaton(items).iter(whole):
         first = end + 1 - size
-        for n, low, behind, before in of:
-            if behind:
-                near = begins(whole[end + 1 : end + 2 + len(behind)], behind)
-            else:  # an empty partner, of a piece alone, is always there
-                near = begins(whole[max(0, first - len(before) - 1) : first][::-1], before)
-            if near:
+        for n, low, behind, before in few:
+            if partner_is_there(whole, first, end, behind, before):
                 starts[n].add(first - low)
+        for behind, before, piece in hot:
+            if partner_is_there(whole, first, end, behind, before):
+                for n in piece.candidates(whole, first):
+                    starts[n].add(first - piece.low)
     found: dict[int, int] = {}
     for n, places in starts.items():
         item = items[n]
         m, k = len(item.text), item.budget
-        best, at = k + 1, sorted(places)
-        while at and best:
-            low = high = at.pop(0)
-            while at and at[0] <= high + 2 * k + 1:  # placements so near share a window
-                high = at.pop(0)
-            best = min(best, least_distance(item.text, whole[max(0, low - k) : high + m + k], k))
+        best, low, high = k + 1, None, 0
+        for at in [*sorted(places), None]:
+            if low is not None and (at is None or at > high + 2 * k + 1):
+                best = min(best, least_distance(item.text, whole[max(0, low - k) : high + m + k], k))
+                low = None
+                if not best:
+                    break
+            if low is None:
+                low = at
+            high = at  # placements so near share a window
         if best <= k:
-            found[item.item_id] = min(best, found.get(item.item_id, best))
+            for item_id in item.item_ids:
+                found[item_id] = min(best, found.get(item_id, best))
     return found
 
 
 def item_blocks(benchmark: DataFrame, budget_percent: int, item_id: str, text: str) -> Iterator[tuple[Item, ...]]:
-    """The benchmark, a block at a time."""
-    rows = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text")).where("item_id IS NOT NULL")
-    blocks = max(1, -(-rows.count() // BLOCK_ITEMS))
-    for i in range(blocks):
-        part = rows.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == i).collect()
-        yield make_items(sorted((r["item_id"], r["text"]) for r in part if r["text"] is not None), budget_percent)
+    """The benchmark, a block of bounded rows and bytes at a time; a longer text is a block of its own.  One block at least."""
+    rows = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text")).where("item_id IS NOT NULL AND text IS NOT NULL").distinct()
+    block, size = [], 0
+    for r in rows.orderBy("item_id", "text").toLocalIterator():
+        if block and (len(block) == BLOCK_ITEMS or size + len(r["text"]) > BLOCK_BYTES):
+            yield make_items(block, budget_percent)
+            block, size = [], 0
+        block.append((r["item_id"], r["text"]))
+        size += len(r["text"])
+    yield make_items(block, budget_percent)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, budget_percent: int = 6, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, distance) for each test item that a document holds within the item's budget.
 
-    The distance is in bytes of the folded texts.  Null and blank texts and items match nothing; a row with
+    The distance is in bytes of the folded texts, the least of an item's texts and places.  Texts are searched
+    whole, however long.  Null and blank texts and items match nothing; a row with
     a null item_id is no item; repeated document rows give repeated results; an empty table gives none.
     """
     chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))

@@ -259,7 +259,7 @@ def test_leaks_against_all_pairs(spark):
     for doc_id, text in rows:
         for item in decontamination.make_items([x for x in items if x[1]], 6):
             if (d := least_edit(item.text, decontamination.folded(text))) <= item.budget:
-                want.append((doc_id, item.item_id, d))
+                want += [(doc_id, i, d) for i in item.item_ids]
     assert got == sorted(want, key=str)
     frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("item_id", F.lit("clash"))
     clean = decontamination.keep_clean(frame, spark.createDataFrame(items, "item_id long, text string"))
@@ -317,6 +317,36 @@ def test_partner_filter_loses_nothing():
         assert decontamination.leaks(text, items) == ({1: want} if want <= items[0].budget else {})
 
 
+def test_items_of_one_stem():
+    """Many items with a common stem: equal to all pairs, and a text with the stem alone takes no time for each of them."""
+    rng = random.Random(6)
+    stem = "which of the following statements about the history of the old stone bridge is right "
+
+    def item(i):
+        return stem + " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 8))) for _ in range(12)) + f" {i}"
+
+    rows = [(i, item(i)) for i in range(120)] + [(500, "another item altogether, with words of its own and nothing in common")]
+    rows += [(700 + i, rows[i][1]) for i in range(3)]
+    items = decontamination.make_items(rows, 10)
+    assert len(items) == 121
+    for _ in range(30):
+        s = list(rng.choice(rows)[1])
+        for _ in range(rng.randint(0, len(s) // 9)):
+            k = rng.randrange(len(s))
+            s[k : k + 1] = rng.choice([[], ["x"], [s[k], "y"]])
+        text = decontamination.folded(prose(rng, 10) + " " + "".join(s) + " " + prose(rng, 10))
+        want = {i: d for x in items if (d := decontamination.least_distance(x.text, text, x.budget)) <= x.budget for i in x.item_ids}
+        assert decontamination.leaks(text, items) == want
+    many = decontamination.make_items([(i, item(i)) for i in range(2000)], 10)
+    decontamination.leaks("warm", many)
+    import time
+
+    begin = time.perf_counter()
+    for i in range(100):
+        assert not decontamination.leaks(f"{prose(rng, 60)} {stem} {prose(rng, 60)}", many)
+    assert time.perf_counter() - begin < 4
+
+
 # ---- 5 ----
 
 
