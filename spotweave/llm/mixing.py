@@ -1,7 +1,7 @@
 """Mixing sources to target weights.
 
 Word totals per source give each source a target; target over total is its repetition rate.  A
-document is emitted floor(rate) times, plus once more if a hash of its id, read as a number in
+document is emitted floor(rate) times, plus once more if a hash of its id and text, read as a number in
 [0, 1), is below the fraction of the rate.  All steps are built-in column expressions; the totals are
 pre-aggregated per task, so a source that holds most rows costs no more than any other.
 """
@@ -24,9 +24,10 @@ def word_count(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def hash_fraction(key: Column, seed: str) -> Column:
-    """A number in [0, 1) from 52 bits of a hash of seed and key; null counts as the word null."""
-    digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("null"))))
+def hash_fraction(doc_id: Column, source: Column, text: Column, seed: str) -> Column:
+    """A number in [0, 1) from 52 bits of a hash of seed, id and text; rows without an id are told apart by their source too."""
+    who = F.coalesce(doc_id.cast("string"), F.concat(F.lit("null:"), F.coalesce(source, F.lit("null"))))
+    digest = F.md5(F.concat(F.lit(seed + ":"), who, F.lit(":"), F.md5(F.coalesce(text, F.lit("")))))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
@@ -59,10 +60,11 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float
     """One row per input row: ``row`` (all columns), ``doc_id``, ``size``, ``source_size``, ``target`` and ``copies``.
 
     A null source is a source of its own; a null or empty text has size 0 and its copies count no
-    words.  Sources without words have target 0 and emit nothing.  Repeated rows of one id draw alike.
+    words.  Sources without words have target 0 and emit nothing.  Rows of one id, or without an id, draw apart if their texts differ;
+    rows equal in id and text draw alike.
     The same ids, texts and seed give the same copies in every run.
     """
-    sized = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[doc_id].alias("doc_id"), docs[source].alias("source"), word_count(docs[text]).alias("size"))
+    sized = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[doc_id].alias("doc_id"), docs[source].alias("source"), word_count(docs[text]).alias("size"), hash_fraction(docs[doc_id], docs[source], docs[text], seed).alias("draw"))
     totals = docs.select(docs[source].alias("source"), word_count(docs[text]).alias("size")).groupBy("source").agg(F.sum("size").alias("source_size"))
     rows = totals.limit(BROADCAST_SOURCES + 1).collect()
     if len(rows) <= BROADCAST_SOURCES:
@@ -71,7 +73,7 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float
         targets = source_targets(totals, weights, share, most)
     targets = targets.withColumnRenamed("source", "of")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    extra = hash_fraction(F.col("doc_id"), seed) < rate - F.floor(rate)
+    extra = F.col("draw") < rate - F.floor(rate)
     return sized.join(targets, F.col("source").eqNullSafe(F.col("of"))).select("row", "doc_id", "size", "source_size", "target", (F.floor(rate) + extra.cast("long")).alias("copies"))
 
 

@@ -78,7 +78,7 @@ def oracle_sql() -> dict[str, str]:
 
 OP2_SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+  SELECT doc_id, source, md5(coalesce(text, '')) AS print, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
 ), totals AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
 ), weighed AS (
@@ -92,7 +92,7 @@ WITH sized AS (
          (budget - sum(CASE WHEN cap <= level * weight THEN cap ELSE 0 END) OVER ()) / sum(CASE WHEN cap <= level * weight THEN 0 ELSE weight END) OVER () * weight END AS target FROM levels
 ), rates AS (
   SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null:' || coalesce(sized.source, 'null')) || ':' || print), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
 )
 SELECT doc_id, size, source_size, target, (size * (floor(rate)::BIGINT + (u < rate - floor(rate))::BIGINT))::BIGINT AS taken FROM rates

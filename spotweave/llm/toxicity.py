@@ -169,20 +169,21 @@ def learn(rows: list[tuple[str, int]]) -> Lexicon:
 
 
 def held_out(doc_id: str | Column) -> Column:
-    """Rows that learning never sees."""
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
+    """Rows that learning never sees, by their id; false for a row without one, which has no label either."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, max_rows: int = 3000) -> list[tuple[str, int]]:
     """Texts and labels of up to ``max_rows`` training rows, the first by a hash of the id.
 
     The bound on rows makes the id list small enough to broadcast.  Rows with a null id, label or text
-    are left out; of several labels of an id the largest counts.
+    are left out; of several labels of an id the largest counts, of several texts the least, so that an id
+    that is repeated however often is one row.
     """
     chosen = labels.select("doc_id", "toxic").where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out("doc_id"))
     chosen = chosen.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").collect()
-    return [(r["text"], int(r["toxic"] > 0)) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"]))]
+    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
+    return [(r["text"], int(r["toxic"] > 0)) for r in sorted(rows, key=lambda r: r["doc_id"])]
 
 
 def score_toxicity(docs: DataFrame, lexicon: Lexicon, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
