@@ -73,7 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality": op1_sql(), "op2_mixing": OP2_SQL, "op8_near_duplicates": OP8_SQL}
+    return {"op1_quality": op1_sql(), "op2_mixing": OP2_SQL, "op7_urls": op7_sql(), "op8_near_duplicates": OP8_SQL}
 
 
 OP2_SQL = r"""
@@ -150,3 +150,44 @@ base AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transf
   FROM docs JOIN split USING (doc_id) LEFT JOIN repeats USING (doc_id))
 SELECT base.*, n_words < {limits.min_words} OR 100 * n_repeat_words > {limits.max_repeat_percent} * n_words AS base_failed,
   NOT (n_words < {limits.min_words} OR 100 * n_repeat_words > {limits.max_repeat_percent} * n_words) AND coalesce(near, true) AS kept FROM base LEFT JOIN near USING (doc_id)"""
+
+
+def op7_sql() -> str:
+    """The URL filter with its models counted, interpolated and calibrated in SQL."""
+    u = urls
+
+    def number(salt: int) -> str:
+        return f"('0x' || substr(md5(n || ':{salt}'), 1, 8))::BIGINT"
+
+    def pick(values, salt: int) -> str:
+        return "[" + ", ".join(f"'{v}'" for v in values) + f"][{number(salt)} % {len(values)} + 1]"
+
+    bad, good, pair = u.REJECTED_WORDS.split(), u.ACCEPTED_WORDS.split(), u.LETTER_PAIRS.split()
+    name = f"CASE WHEN n % 2 = 1 THEN {pick(bad, 1)} || {pick(u.JOINS, 2)} || {pick(bad, 3)} WHEN n % 4 < 2 THEN {pick(pair, 4)} || {pick(pair, 5)} || {pick(pair, 6)} ELSE {pick(good, 7)} || {pick(u.JOINS, 8)} || {pick(good, 9)} END"
+    slug = f"CASE WHEN n % 2 = 1 THEN {pick(bad, 16)} || '-' || {pick(bad, 18)} ELSE {pick(good, 17)} || '-' || {pick(good, 19)} END"
+    path = f"{pick(u.FOLDERS, 13)} || CASE WHEN {number(20)} % 3 = 0 THEN {slug} ELSE ({number(14)} % 10000)::VARCHAR END || {pick(u.ENDS, 15)}"
+    folded = f"'{' ' * u.ORDER}' || regexp_replace(lower(text), '[^a-z0-9./_-]', ' ', 'g')"
+    size, order = len(u.ALPHABET) + 1, u.ORDER
+    tables = ""
+    for k in range(order + 1):
+        seen = f"SELECT substr(gram, {order + 1 - k}, {k + 1}) AS g, sum(n) FILTER (WHERE NOT bad) AS good_n, sum(n) FILTER (WHERE bad) AS bad_n FROM counted GROUP BY g"
+        every = f"SELECT h || c AS g, good_all, bad_all FROM (SELECT substr(g, 1, {k}) AS h, coalesce(sum(good_n), 0) AS good_all, coalesce(sum(bad_n), 0) AS bad_all FROM seen{k} GROUP BY h), (SELECT unnest(string_split('{u.ALPHABET} ', '')) AS c)"
+        chance = [f"(coalesce({b}_n, 0) + 0.5::DOUBLE) / ({b}_all + {0.5 * size}::DOUBLE)" if not k else f"(coalesce({b}_n, 0) + {u.MASS}::DOUBLE * q.{b}_p) / ({b}_all + {u.MASS}::DOUBLE)" for b in ("good", "bad")]
+        shorter = f" JOIN p{k - 1} q ON q.g = substr(e.g, 2)" if k else ""
+        tables += f"seen{k} AS ({seen}), every{k} AS ({every}),\np{k} AS (SELECT e.g, {chance[0]} AS good_p, {chance[1]} AS bad_p FROM every{k} e LEFT JOIN seen{k} s ON s.g = e.g{shorter}),\n"
+    longest = "coalesce(" + ", ".join(f"ln(p{k}.bad_p) - ln(p{k}.good_p)" for k in reversed(range(order + 1))) + ")"
+    joins = " ".join(f"LEFT JOIN p{k} ON p{k}.g = substr(gram, {order + 1 - k})" for k in range(order + 1))
+    ranked = sorted(u.RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = [f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN" for _, h, p in ranked]
+    rule = "CASE " + " ".join(f"{f} '{h}{p}'" for f, (_, h, p) in zip(fits, ranked)) + " END"
+    given = "CASE " + " ".join(f"{f} '{v}'" for f, (v, _, _) in zip(fits, ranked)) + " END"
+    return f"""
+WITH seeds AS (SELECT n, n % 2 = 1 AS bad, {pick(u.PREFIXES, 10)} || {name} || {pick(u.SUFFIXES, 11)} || {pick(u.TOP, 12)} || {path} AS text FROM range({u.SEED_URLS}) t(n)),
+parts AS (SELECT page_id, row_number() OVER () AS r, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+judged AS (SELECT *, {rule} AS rule, {given} AS given FROM parts),
+texts AS (SELECT 'seed' AS kind, n AS id, bad, {folded} AS text FROM seeds UNION ALL SELECT 'page', r, NULL, {folded} FROM (SELECT r, host || path AS text FROM judged WHERE rule IS NULL)),
+grams AS (SELECT kind, id, bad, substr(text, i, {order + 1}) AS gram FROM (SELECT *, unnest(range(1, length(text) - {order} + 1)) AS i FROM texts)),
+counted AS (SELECT bad, gram, count(*) AS n FROM grams WHERE kind = 'seed' AND id // 2 % 5 <> 0 GROUP BY ALL),
+{tables}scored AS (SELECT kind, id, any_value(bad) AS bad, round(sum({longest}) / count(*), 9) AS difference FROM grams {joins} WHERE kind = 'page' OR id // 2 % 5 = 0 GROUP BY kind, id),
+threshold AS (SELECT greatest(0, (quantile_cont(difference, 0.98) FILTER (WHERE NOT bad) + quantile_cont(difference, 0.05) FILTER (WHERE bad)) / 2) AS least FROM scored WHERE kind = 'seed')
+SELECT page_id, host, path, rule, coalesce(given, CASE WHEN coalesce(difference, 0) > least THEN 'block' ELSE 'allow' END) AS verdict FROM judged LEFT JOIN scored ON kind = 'page' AND id = r CROSS JOIN threshold"""

@@ -4,7 +4,7 @@ Two variable-order Markov models, of accepted and of rejected URLs, are interpol
 context seen down to single characters.  A URL that no rule fits is blocked if the mean log-likelihood
 difference of its characters is above a threshold calibrated on labelled URLs that the models were not
 trained on.  Everything is DataFrame functions.  The models are tables whose size depends on the labelled
-URLs alone (at most SEED_URLS rows, so at most that many contexts times the alphabet); they are broadcast,
+URLs alone (by default SEED_URLS rows, of a few thousand contexts times the alphabet); up to a checked size they are broadcast,
 and a page meets no other page.
 """
 
@@ -15,16 +15,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.storage import checkpointed
+from spotweave.storage import small_side, stored
 
 #: (verdict, host, path)
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-# Words of unwanted and of ordinary hosts, and the commonest English letter pairs.
-REJECTED_WORDS = "casino bets bet win poker slots jackpot pills viagra cheap pharma adult sex porn cams spam farm ads track tracker click popup free loan payday replica crack warez torrent dating escort crypto miner phish malware x xxx"
-ACCEPTED_WORDS = "news wiki library science garden school travel history music kitchen weather museum journal research health nature city council forum docs open data university theatre books review daily times post river mountain"
+# Words of unwanted and of ordinary addresses, and the commonest English letter pairs.
+REJECTED_WORDS = (
+    "casino bet bets betting win winner jackpot poker slots roulette bingo lotto gamble pills viagra cialis pharma pharmacy meds cheap discount replica fake adult sex sexy porn xxx nude cams escort dating hookup "
+    "spam scam phish malware virus crack cracked warez torrent keygen hack hacks cheats click popup tracker adserver affiliate traffic loan loans payday credit debt cash money rich earn crypto miner coins "
+    "weightloss diet detox miracle free gratis bonus prize gift cards followers likes seo backlinks essay"
+)
+ACCEPTED_WORDS = (
+    "news wiki library science garden school travel history music kitchen weather museum journal research health nature city council forum docs open data university theatre books review daily times post river "
+    "mountain village bridge forest ocean energy climate physics biology chemistry math language culture art design photo film radio sport football tennis cycling hiking cooking recipes coffee bread wine "
+    "bank insurance market trade company office hotel airport railway transit map guide blog story article about contact support help manual software developer code project linux python cloud network security "
+    "people family children parents teacher student nurse doctor clinic hospital charity church club society press magazine gazette herald tribune observer academy institute foundation association ministry "
+    "police court law tax jobs career shop store house home studio lab group digital media online world global local national european"
+)
 LETTER_PAIRS = "th he in er an re nd at on nt ha es st en ed to it ou ea hi is or ti as te et ng of al de se le ion the and ent tha wh sh ble ly"
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789./-_"
-SEED_URLS = 1600
+SEED_URLS = 4000
 ORDER = 3  # characters of the longest context
 MASS = 1.5  # pseudo-count that a context lends to the next shorter one
 
@@ -49,23 +59,35 @@ def rule_column(host: Column, path: Column, rules: Sequence[tuple[str, str, str]
     return out
 
 
+#: What an address is made of besides its words: prefixes, domains, and beginnings and ends of paths, the same for either label.
+JOINS, PREFIXES, SUFFIXES = ("-", "-", "-", ""), ("", "", "www.", "m.", "blog.", "en."), (".example", "", "")
+TOP = (".com", ".com", ".org", ".net", ".de", ".fr", ".co.uk", ".io", ".info")
+FOLDERS, ENDS = ("/", "/", "/en/", "/de/", "/fr/", "/es/", "/2021/05/", "/wiki/", "/p/", "/category/", "/index.php/"), ("", "", "/", ".html", ".php")
+
+
 def seed_urls(spark: SparkSession) -> DataFrame:
-    """The labelled URLs (n, bad, text), made by rule with the same endings and paths for either label."""
-    words = {k: F.array(*[F.lit(w) for w in v.split()]) for k, v in (("bad", REJECTED_WORDS), ("good", ACCEPTED_WORDS), ("pair", LETTER_PAIRS))}
+    """The labelled URLs (n, bad, text), made by rule; only their words differ by label.
+
+    A choice is made by the digest of the URL's number and the choice's.  The host of a rejected URL has
+    two of the rejected words; that of an accepted one has accepted words or is made of letter pairs.  Paths
+    have a number or two of the label's words.
+    """
+    words = {k: v.split() for k, v in (("bad", REJECTED_WORDS), ("good", ACCEPTED_WORDS), ("pair", LETTER_PAIRS))}
 
-    def pick(array: Column, salt: int) -> Column:
-        return F.element_at(array, (F.pmod(F.xxhash64(F.col("n"), F.lit(salt)), F.size(array)) + 1).cast("int"))
+    def number(salt: int) -> Column:
+        return F.conv(F.substring(F.md5(F.concat(F.col("n").cast("string"), F.lit(f":{salt}"))), 1, 8), 16, 10).cast("long")
 
-    def of(*values: str) -> Column:
-        return F.array(*[F.lit(v) for v in values])
+    def pick(values: Sequence[str], salt: int) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), (number(salt) % len(values) + 1).cast("int"))
 
-    bad = F.concat(pick(words["bad"], 1), pick(of("-", "-", "-", ""), 2), pick(words["bad"], 3))
-    pairs = F.concat(pick(words["pair"], 4), pick(words["pair"], 5), pick(words["pair"], 6))
-    good = F.when(F.col("n") % 4 < 2, pairs).otherwise(F.concat(pick(words["good"], 7), pick(of("", "-", ""), 8), pick(words["good"], 9)))
-    host = F.concat(pick(of("", "www.", "m.", "blog."), 10), F.when(F.col("n") % 2 == 1, bad).otherwise(good), pick(of(".example", ""), 11), pick(of(".com", ".org", ".net"), 12))
-    path = F.concat(pick(of("/en/", "/de/", "/fr/", "/es/", "/"), 13), F.pmod(F.xxhash64("n", F.lit(14)), F.lit(1000)).cast("string"), pick(of("", "/", ".html"), 15))
+    is_bad, pairs = F.col("n") % 2 == 1, F.concat(pick(words["pair"], 4), pick(words["pair"], 5), pick(words["pair"], 6))
+    bad = F.concat(pick(words["bad"], 1), pick(JOINS, 2), pick(words["bad"], 3))
+    good = F.when(F.col("n") % 4 < 2, pairs).otherwise(F.concat(pick(words["good"], 7), pick(JOINS, 8), pick(words["good"], 9)))
+    host = F.concat(pick(PREFIXES, 10), F.when(is_bad, bad).otherwise(good), pick(SUFFIXES, 11), pick(TOP, 12))
+    slug = F.concat(F.when(is_bad, pick(words["bad"], 16)).otherwise(pick(words["good"], 17)), F.lit("-"), F.when(is_bad, pick(words["bad"], 18)).otherwise(pick(words["good"], 19)))
+    path = F.concat(pick(FOLDERS, 13), F.when(number(20) % 3 == 0, slug).otherwise((number(14) % 10_000).cast("string")), pick(ENDS, 15))
     # n // 2 pairs a rejected with an accepted URL; every fifth pair is kept for calibration
-    return spark.range(SEED_URLS).withColumnRenamed("id", "n").select("n", (F.col("n") % 2 == 1).alias("bad"), F.concat(host, path).alias("text"))
+    return spark.range(SEED_URLS).withColumnRenamed("id", "n").select("n", is_bad.alias("bad"), F.concat(host, path).alias("text"))
 
 
 def symbols(text: Column) -> Column:
@@ -82,9 +104,11 @@ def grams(table: DataFrame, *keep: str) -> DataFrame:
 def markov_tables(labelled: DataFrame) -> list[DataFrame]:
     """For each context length k from 0 on: (g, d), d the log-likelihood difference of the last character.
 
-    A table of k > 0 has every context of k characters seen with either label, with every character.
+    A table of k > 0 has every context of k characters seen with either label, with every character.  It is
+    marked for broadcast if its size allows.
     """
     counted = grams(labelled.select("bad", symbols(F.col("text")).alias("text")), "bad").groupBy("bad", "gram").agg(F.count("*").alias("n"))
+    counted = stored(counted)
     every = F.explode(F.split(F.lit("\x01".join(ALPHABET + " ")), "\x01"))
     size = float(len(ALPHABET) + 1)
     both = [F.sum(F.when(F.col("bad") == b, F.col("n")).otherwise(0)).cast("double").alias(name) for b, name in ((False, "good_n"), (True, "bad_n"))]
@@ -101,8 +125,8 @@ def markov_tables(labelled: DataFrame) -> list[DataFrame]:
             shorter = probabilities.select(F.col("g").alias("s"), F.col("good_p").alias("good_q"), F.col("bad_p").alias("bad_q"))
             full = full.join(shorter, F.substring("g", 2, k) == F.col("s"))
             p = [((F.col(f"{b}_n") + MASS * F.col(f"{b}_q")) / (F.col(f"{b}_all") + MASS)).alias(f"{b}_p") for b in ("good", "bad")]
-        probabilities = checkpointed(full.select("g", *p))
-        tables.append(probabilities.select("g", (F.log("bad_p") - F.log("good_p")).alias("d")))
+        probabilities = stored(full.select("g", *p))
+        tables.append(small_side(probabilities.select("g", (F.log("bad_p") - F.log("good_p")).alias("d"))))
     return tables
 
 
@@ -115,15 +139,15 @@ def likelihood_difference(texts: DataFrame, tables: list[DataFrame], *keep: str)
     found = grams(texts, *keep)
     best = F.lit(None).cast("double")
     for k, table in enumerate(tables):
-        found = found.join(F.broadcast(table.select(F.col("g").alias(f"g{k}"), F.col("d").alias(f"d{k}"))), F.substring("gram", ORDER + 1 - k, k + 1) == F.col(f"g{k}"), "left")
+        found = found.join(table.select(F.col("g").alias(f"g{k}"), F.col("d").alias(f"d{k}")), F.substring("gram", ORDER + 1 - k, k + 1) == F.col(f"g{k}"), "left")
         best = F.coalesce(F.col(f"d{k}"), best)
     return found.groupBy(*keep).agg(F.round(F.sum(best) / F.count("gram"), 9).alias("difference"))
 
 
 def calibrated_threshold(labelled: DataFrame, tables: list[DataFrame]) -> float:
-    """Midway between the 98th percentile of accepted and the 20th of rejected URLs, and at least 0."""
+    """Midway between the 98th percentile of accepted and the 5th of rejected URLs, and at least 0."""
     scored = likelihood_difference(labelled.select("n", symbols(F.col("text")).alias("text"), "bad"), tables, "n", "bad")
-    row = scored.agg(F.percentile(F.when(~F.col("bad"), F.col("difference")), 0.98).alias("good"), F.percentile(F.when(F.col("bad"), F.col("difference")), 0.2).alias("bad")).first()
+    row = scored.agg(F.percentile(F.when(~F.col("bad"), F.col("difference")), 0.98).alias("good"), F.percentile(F.when(F.col("bad"), F.col("difference")), 0.05).alias("bad")).first()
     return max(0.0, ((row["good"] or 0.0) + (row["bad"] or 0.0)) / 2)
 
 
@@ -134,7 +158,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     one without :// has an empty host and path, fits no rule and is allowed, as the models have nothing to
     read.  Repeated rows are judged alike; other columns are not read.
     """
-    labelled = seed_urls(pages.sparkSession) if labelled is None else labelled
+    labelled = stored(seed_urls(pages.sparkSession) if labelled is None else labelled)
     held = F.floor(F.col("n") / 2) % 5 == 0
     tables = markov_tables(labelled.where(~held))
     threshold = calibrated_threshold(labelled.where(held), tables)
