@@ -33,7 +33,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     def number(kind: str) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return found.select("doc_id", *map(number, pii.KINDS), F.sha2(named(F.col("base")), 256).alias("base_sha256"), named(F.concat("base", "added")).alias("spans"))
+    return found.select("doc_id", *map(number, pii.KINDS), F.sha2(named(F.col("base")), 256).alias("base_sha256"), named(F.concat("base", "added")).alias("spans"), F.size(F.concat("base", "added")).cast("long").alias("n_spans"))
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
