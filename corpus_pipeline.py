@@ -22,7 +22,7 @@ from spotweave.llm.mixing import mix
 from spotweave.llm.near_duplicates import keep_one_of_each
 from spotweave.llm.pii import mask_personal_data
 from spotweave.llm.quality import keep_quality
-from spotweave.storage import stored
+from spotweave.storage import release, stored
 
 #: Near duplicates share at least so many per cent of their five-word shingles.
 SIMILAR_PERCENT = 80
@@ -68,9 +68,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, over the whole of ``documents``."""
-    docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    docs, before = read_table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))
+        if before is not None:
+            release(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

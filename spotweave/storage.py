@@ -46,9 +46,6 @@ def stored(frame: DataFrame) -> DataFrame:
     return back
 
 
-checkpointed = stored
-
-
 def release(*frames: DataFrame) -> None:
     """Deletes what :func:`stored` wrote for these frames; nothing may read them any more."""
     for frame in frames:
