@@ -377,7 +377,7 @@ def document_classes(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     # repeated rows are made one before they meet; the join keeps the aggregation's partitioning
     full = usable.groupBy("doc_id", *name).agg(F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch"))
     reps = full.join(classes.withColumn("doc_id", F.col("rep")), ["doc_id", *name]).select("rep", (1 + F.floor(F.col("n_shingles") / UNIT)).alias("weight"), "tokens", "sketch")
-    return stored(members), stored(reps)
+    return members, stored(reps)
 
 
 def near_components(docs: DataFrame, reps: DataFrame, percent: int, doc_id: str, text: str) -> DataFrame:
@@ -390,16 +390,15 @@ def near_components(docs: DataFrame, reps: DataFrame, percent: int, doc_id: str,
     loose = connected_components(loose_edges(leaves, reps, limit - LOOKS_NEAR), "a", "b")
     placed = loose.withColumnRenamed("id", "rep").join(reps.select("rep", "weight"), "rep")
     sizes = placed.groupBy("component").agg(F.count("*").alias("members"), F.sum("weight").alias("all"))
-    sized = stored(placed.join(sizes, "component").select("rep", "component", ((F.col("members") <= 2) | (F.col("all") <= LEAF)).alias("light")))
+    sized = placed.join(sizes, "component").select("rep", "component", ((F.col("members") <= 2) | (F.col("all") <= LEAF)).alias("light"))
     groups = sized.where("light").select(F.xxhash64(F.lit("component"), "component").alias("grp"), "rep")
     # in a heavy component, members meet leaf by leaf; the leaf and the component name the group
     groups = groups.unionByName(leaves.join(sized.where("NOT light"), "rep").select(F.xxhash64("grp", "component").alias("grp"), "rep").distinct())
-    edges = stored(true_edges(groups, docs, percent, doc_id, text))
-    found = connected_components(edges, "a", "b")
+    found = connected_components(true_edges(groups, docs, percent, doc_id, text), "a", "b")
     if stuck:
         more = true_edges(stray_blocks(heavy, found), docs, percent, doc_id, text)
-        found = connected_components(edges.unionByName(more), "a", "b")
-    release(sized, edges, *kept)
+        found = connected_components(more.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b"))), "a", "b")
+    release(*kept)
     return found
 
 
