@@ -72,7 +72,8 @@ BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
 REACH = 3  # words on either side of a word with a digit, an at-sign or the like that may be part of a span
 AROUND = (-2, -1, 0, 1, 2, 3)  # words whose features speak for a word's label, by their distance
-CACHED_WORDS = 100_000
+CACHED_WORDS = 16_384
+ROWS = 1_024  # rows that are worked on at once
 # Words that speak for or against personal data beside them.
 CUES = frozenset(
     b"at dot phone tel call fax mobile cell ring dial whatsapp sms text telephone telefon telefono hotline toll free numero rufnummer card visa mastercard credit pay paid account ip host server gateway ping router "
@@ -575,8 +576,10 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = detect(batch.column(1), tagger)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([rows(b) for b, _ in found], kind), pa.array([rows(m) for _, m in found], kind)], ["doc_id", "base", "added"])
+            for low in range(0, batch.num_rows, ROWS):
+                part = batch.slice(low, ROWS)
+                found = detect(part.column(1), tagger)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([rows(b) for b, _ in found], kind), pa.array([rows(m) for _, m in found], kind)], ["doc_id", "base", "added"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id long, base {span}, added {span}")
 
@@ -602,10 +605,11 @@ def mask_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = detect(batch.column(at), tagger)
-            hit = {i: b + m for i, (b, m) in enumerate(found) if b or m}
-            texts = batch.column(at)
-            masked = pa.array([mask_text(x.as_py(), hit[i]) if i in hit else x.as_py() for i, x in enumerate(texts)], texts.type)
-            yield batch.set_column(at, batch.schema.field(at), masked)
+            for low in range(0, batch.num_rows, ROWS):
+                part = batch.slice(low, ROWS)
+                texts = part.column(at)
+                hit = {i: b + m for i, (b, m) in enumerate(detect(texts, tagger)) if b or m}
+                masked = pa.array([mask_text(x.as_py(), hit[i]) if i in hit else x.as_py() for i, x in enumerate(texts)], texts.type)
+                yield part.set_column(at, part.schema.field(at), masked)
 
     return docs.mapInArrow(run, docs.schema)
