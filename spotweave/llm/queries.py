@@ -73,7 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality": op1_sql(), "op2_mixing": OP2_SQL, "op7_urls": op7_sql(), "op8_near_duplicates": OP8_SQL}
+    return {"op1_quality": op1_sql(), "op2_mixing": OP2_SQL, "op5_repeated_bytes": OP5_SQL, "op7_urls": op7_sql(), "op8_near_duplicates": OP8_SQL}
 
 
 OP2_SQL = r"""
@@ -98,6 +98,22 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target, (size * (floor(rate)::BIGINT + (u < rate - floor(rate))::BIGINT))::BIGINT AS taken FROM rates
 """
 
+# every window of 100 bytes by its hash, cut from pieces of a text, as a place in a long string is dear to find
+OP5_SQL = r"""
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+pieces AS (SELECT doc_id, k * 1000 AS base, substr(h, 2000 * k + 1, 2198) AS p FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2000 + 1)) AS k FROM texts)),
+windows AS (SELECT doc_id, base + i AS place, hash(substr(p, 2 * i + 1, 200)) AS w FROM (SELECT doc_id, base, p, unnest(range(0, length(p) // 2 - 99)) AS i FROM pieces)),
+again AS (SELECT doc_id, place FROM (SELECT doc_id, place, row_number() OVER (PARTITION BY w ORDER BY doc_id, place) AS r FROM windows) WHERE r > 1),
+marked AS (SELECT doc_id, place, CASE WHEN place <= lag(place) OVER (PARTITION BY doc_id ORDER BY place) + 100 THEN 0 ELSE 1 END AS fresh FROM again),
+runs AS (SELECT doc_id, place, sum(fresh) OVER (PARTITION BY doc_id ORDER BY place) AS run FROM marked),
+spans AS (SELECT doc_id, min(place) AS low, max(place) + 100 AS high FROM runs GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS a, low AS b FROM spans UNION ALL SELECT doc_id, coalesce(max(high), 0), NULL FROM texts LEFT JOIN spans USING (doc_id) GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, length(h) // 2) - a)), '' ORDER BY a, b NULLS LAST) AS h FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id),
+sums AS (SELECT doc_id, sum(high - low) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT doc_id, (length(texts.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(kept.h)) AS kept_sha256
+FROM texts JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
+"""
+
 OP8_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
