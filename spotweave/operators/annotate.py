@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 from spotweave.functions.cigar import aligned_blocks
 
 BIN = 4_096
+ENDLESS = 1 << 40  # beyond any position
 MODES = ("union", "intersection-nonempty", "intersection-strict")
 STRANDED = ("yes", "no", "reverse")
 
@@ -60,7 +61,7 @@ def feature_steps(features: DataFrame, stranded: bool = True, gaps: bool = False
     if gaps:
         genes = spans.join(genes, ["chrom", "strand", "low", "high"], "left").withColumn("genes", F.coalesce("genes", F.array().cast("array<string>")))
         ends = features.groupBy("chrom", "strand").agg(F.min("low").alias("first"), F.max("high").alias("last"))
-        outer = F.explode(F.array(F.struct(F.lit(-(1 << 40)).cast("long").alias("low"), F.col("first").cast("long").alias("high")), F.struct(F.col("last").cast("long").alias("low"), F.lit(1 << 40).cast("long").alias("high"))))
+        outer = F.explode(F.array(F.struct(F.lit(-ENDLESS).cast("long").alias("low"), F.col("first").cast("long").alias("high")), F.struct(F.col("last").cast("long").alias("low"), F.lit(ENDLESS).cast("long").alias("high"))))
         genes = genes.unionByName(ends.select("chrom", "strand", outer.alias("o")).select("chrom", "strand", "o.low", "o.high", F.array().cast("array<string>").alias("genes")))
     # gaps and islands: a run of touching intervals with equal genes is one
     fresh = ~((F.lag("high").over(by_place) == F.col("low")) & (F.lag("genes").over(by_place) == F.col("genes")))
@@ -103,17 +104,21 @@ def annotate(alignments: DataFrame, features: DataFrame, mode: str = "intersecti
     aligned = F.when(F.col("state").isNull(), aligned_blocks("cigar", "pos"))
     blocks = marked.select(key, "state", "chrom", "strand", F.explode_outer(aligned).alias("b")).select(key, "state", "chrom", "strand", "b.block", "b.low", "b.high")
     steps = feature_steps(features, stranded != "no", gaps=mode == "intersection-strict")
-    # endless steps without genes are cut to the reads' reach, two numbers
+    none = F.array().cast("array<string>")
+    tail = F.lit(None).cast(f"struct<block:{blocks.schema['block'].dataType.simpleString()},from:bigint,genes:array<string>>")
     if mode == "intersection-strict":
-        reach = blocks.agg(F.min("low").alias("l"), F.max("high").alias("h")).first()
-        low, high = (reach["l"] or 0), (reach["h"] or 1)
-        steps = steps.withColumns({"low": F.greatest("low", F.lit(low)), "high": F.least("high", F.lit(high))}).where("low < high")
+        # the endless steps at a reference's ends are no steps of bins: that before all features changes nothing, as
+        # an empty intersection starts anew; that behind the last begins at a place which its blocks are given
+        ends = steps.where(F.col("high") == ENDLESS).select("chrom", "strand", F.col("low").alias("last"))
+        steps = steps.where((F.col("low") > -ENDLESS) & (F.col("high") < ENDLESS))
+        blocks = blocks.join(ends, ["chrom", "strand"], "left")
+        tail = F.when(F.col("l.high") > F.col("l.last"), F.struct("l.block", F.col("l.last").alias("from"), none.alias("genes")))
     bins = F.sequence(F.floor(F.col("low") / BIN), F.floor((F.col("high") - 1) / BIN))
     left = blocks.withColumn("bin", F.explode_outer(F.when(F.col("low").isNotNull(), bins))).alias("l")
     right = steps.select("chrom", "strand", F.col("low").alias("from"), F.col("high").alias("to"), "genes", F.explode(bins).alias("bin")).alias("r")
     over = (F.col("l.chrom") == F.col("r.chrom")) & (F.col("l.strand") == F.col("r.strand")) & (F.col("l.bin") == F.col("r.bin")) & (F.col("l.low") < F.col("r.to")) & (F.col("l.high") > F.col("r.from"))
-    met = left.join(right, over, "left").select(f"l.{key}", "l.state", F.when(F.col("r.from").isNotNull(), F.struct("l.block", "r.from", "r.genes")).alias("step"))
-    found = met.groupBy(key).agg(F.max("state").alias("state"), F.array_sort(F.collect_set("step")).alias("steps"))
+    met = left.join(right, over, "left").select(f"l.{key}", "l.state", F.when(F.col("r.from").isNotNull(), F.struct("l.block", "r.from", "r.genes")).alias("step"), tail.alias("tail"))
+    found = met.groupBy(key).agg(F.max("state").alias("state"), F.array_sort(F.concat(F.collect_set("step"), F.collect_set("tail"))).alias("steps"))
     genes = fold_genes(F.transform("steps", lambda s: s["genes"]), mode)
     return found.withColumn("genes", genes).select(key, F.coalesce("state", gene_label(F.col("genes"))).alias("gene"))
 

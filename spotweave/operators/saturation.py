@@ -1,7 +1,8 @@
 """Saturation curves: all subsamples in one pass.
 
-A subsample of exactly p reads is the first p by a salted hash.  Reads are exploded only to the points whose
-subsample they belong to, and every later step is grouped by point.
+A subsample of exactly p reads is the first p by a hash salted with p, so that samples of unlike sizes are
+independent.  Each read is hashed once for each point; only reads in the ranges of the hash that a sample
+needs are shuffled, and every later step is grouped by point.
 """
 
 from __future__ import annotations

@@ -11,12 +11,19 @@ from pyspark.sql import functions as F
 HEX, BASES, QUALITIES = "0123456789abcdef", "ACGTACGTACGTACGT", "!#%)+-/258;=?BEI"
 CIGARS = ("30M", "10M20N15M", "5S25M", "12M3I10M2D8M")
 POINTS = (100, 1000, 5000)
+SPREAD_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """A table of few bytes, which one task would read, dealt to all cores; a larger one as it is, as its files are split."""
+    size = int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism) if size <= SPREAD_BYTES else frame
+
+
 def seq_of(key: Column) -> Column:
     return F.translate(F.md5(key.cast("string")), HEX, BASES)
 
@@ -26,7 +33,7 @@ def qual_of(key: Column) -> Column:
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e, key = table(spark, sf_dir, "events"), F.col("event_id")
+    e, key = spread(table(spark, sf_dir, "events").select("event_id", "event_type", "user_id")), F.col("event_id")
     strand = F.when(key % 2 == 0, "+").otherwise("-")
     return e.select(
         key.alias("id"), F.concat(F.lit("read"), key.cast("string")).alias("clear_name"), F.col("event_type").alias("gene"), F.col("user_id").cast("int").alias("x"), (F.col("user_id") % 7).cast("int").alias("y"),
@@ -41,7 +48,7 @@ def read_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = F.when(key % 5 == 0, F.repeat(F.lit("A"), 12)).when(key % 5 == 1, F.repeat(F.lit("G"), 11)).when(key % 5 == 2, F.concat(F.repeat(F.lit("T"), 6), F.lit("C"), F.repeat(F.lit("T"), 5))).otherwise("")
     long = F.concat(F.substring(r2, 1, 24), run, F.substring(r2, 25, 8))
     quality = F.rpad(F.concat(qual_of(key), F.repeat(F.lit("E"), 12)), F.length(long).cast("int"), F.lit("E"))
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events").select("event_id")).select(
         key.alias("read_idx"), F.concat(F.lit("read"), key.cast("string"), F.lit(" 2:N")).alias("name"), r1.alias("r1_seq"), qual_of(F.concat(F.lit("f"), key.cast("string"))).alias("r1_qual"),
         F.substring(long, F.lit(1), F.length(long)).alias("r2_seq"), F.substring(quality, F.lit(1), F.length(long)).alias("r2_qual"),
     )
