@@ -150,7 +150,9 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 2048, doc_id: st
     """One row per input row: doc_id, n_bytes, n_tokens, over_limit.
 
     ``vocabulary`` is the path of the file on every machine; it is read once per task.  A null or
-    empty text has no bytes and no tokens; repeated rows count alike; other columns are not read.
+    empty text has no bytes and no tokens; repeated rows count alike; other columns are not read.  Texts are
+    counted whole; the time is in proportion to their bytes, but for single words of tens of thousands of bytes,
+    whose rounds of merges grow with their distinct pairs (some 4 seconds for a word of 128 KB).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spotweave.llm import mixing, near_duplicates, repeated_bytes, toxicity
+from spotweave.llm import mixing, near_duplicates, quality, repeated_bytes, toxicity
 from tests.llm.test_operators import brute_components, brute_repeats, prose
 
 
@@ -136,3 +136,11 @@ def test_very_common_fingerprint(spark, monkeypatch):
     rows = [(i, "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(60, 90))) + passage[rng.randrange(20) : 150 - rng.randrange(20)] + "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(60, 90)))) for i in range(900)]
     got = {r["doc_id"]: tuple(r)[1:] for r in repeated_bytes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute_repeats(rows)
+
+
+def test_a_document_alone_in_its_language(spark):
+    """It is its own reference and stays, whatever it is like."""
+    odd = "zzz qqq " * 40 + " ".join(f"x{i}" for i in range(60))
+    rows = [(i, prose(random.Random(i), 80), "en") for i in range(30)] + [(99, " ".join(dict.fromkeys(odd.split())) + " 12345 67890", "de")]
+    got = {r["doc_id"]: r for r in quality.score_quality(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert not got[99]["base_failed"] and got[99]["kept"]
